@@ -42,17 +42,23 @@ def evaluate_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def log_date(log_time: Column) -> Column:
-    return F.split_part(log_time, F.lit(":"), F.lit(1))
+    return F.substring_index(log_time, ":", 1)
 
 
 def log_hour(log_time: Column) -> Column:
     """Hour as int; NULL when the time has no such part or it is not a number."""
-    return F.split_part(log_time, F.lit(":"), F.lit(2)).try_cast("int")
+    second = F.substring_index(F.substring_index(log_time, ":", 2), ":", -1)
+    return F.when(F.contains(log_time, F.lit(":")), second).try_cast("int")
 
 
 def byte_count(text: Column) -> Column:
-    """'-', non-numeric, overflowing and negative sizes count as 0."""
-    return F.greatest(F.coalesce(text.try_cast("bigint"), F.lit(0)), F.lit(0)).cast("bigint")
+    """'-', non-numeric, overflowing and negative sizes count as 0.
+
+    '-' is common and goes first: a cast that fails costs far more than a comparison.
+    """
+    zero = F.lit(0).cast("bigint")
+    number = F.greatest(F.coalesce(text.try_cast("bigint"), zero), zero)
+    return F.when(text == "-", zero).otherwise(number)
 
 
 def is_error(status_code: Column, mode: str = "4xx5xx") -> Column:

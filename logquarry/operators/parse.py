@@ -59,7 +59,7 @@ def classify_lines(lines: DataFrame) -> DataFrame:
         "request",
         F.col("status").cast("int").alias("status_code"),
         "bytes_text",
-        F.when(F.col("host").isNotNull(), clf.byte_count(F.col("bytes_text"))).alias("bytes"),
+        F.when(F.col("bytes_text").isNotNull(), clf.byte_count(F.col("bytes_text"))).alias("bytes"),
         clf.log_date(F.col("log_time")).alias("log_date"),
         clf.log_hour(F.col("log_time")).alias("log_hour"),
     )

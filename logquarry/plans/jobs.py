@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,21 +60,28 @@ def run_questions(
         for i in range(1, len(batches) + 1):
             start = _now_ms()
             write_partials(lines.filter(F.col("batch_id") == i), partials_path, questions)
-            runtimes.append((i, "batch", _now_ms() - start))
+            elapsed = _now_ms() - start
+            runtimes.append({"batch_id": i, "stage": "batch", "runtime_ms": elapsed})
     else:
         start = _now_ms()
         write_partials(lines, partials_path, questions)
         elapsed = _now_ms() - start
-        runtimes = [(i, "all_batches", elapsed) for i in range(1, len(batches) + 1)]
+        runtimes = [
+            {"batch_id": i, "stage": "all_batches", "runtime_ms": elapsed}
+            for i in range(1, len(batches) + 1)
+        ]
 
     stored = read_partials(spark, partials_path)
     merges = []
     for question in questions:
         start = _now_ms()
         sink.save_results(store, run_id, **{question: question_result(stored, question)})
-        merges.append((question, "merge", _now_ms() - start))
+        elapsed = _now_ms() - start
+        merges.append({"query_name": question, "stage": "merge", "runtime_ms": elapsed})
 
-    times = spark.createDataFrame(runtimes, "batch_id int, stage string, runtime_ms bigint")
+    times = spark.createDataFrame(
+        pa.Table.from_pylist(runtimes), "batch_id int, stage string, runtime_ms bigint"
+    )
     batch_rows = (
         batch_table(spark, batches)
         .drop("path")
@@ -83,7 +91,7 @@ def run_questions(
         .withColumnRenamed("malformed", "malformed_lines")
     )
     merge_rows = spark.createDataFrame(
-        merges, "query_name string, stage string, runtime_ms bigint"
+        pa.Table.from_pylist(merges), "query_name string, stage string, runtime_ms bigint"
     )
     run = F.lit(run_id).cast("bigint")
     sink.save_batch_metadata(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from logquarry.operators.parse import malformed_lines
 from logquarry.sources.tables import TSV_OPTIONS
@@ -18,20 +21,39 @@ def replace_output(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def gather(df: DataFrame, columns: Sequence[str], spread: int | None = None) -> DataFrame:
+    """Bring the rows of each output partition together into files of a fair size.
+
+    Without this every task writes a file into every output partition. Adaptive
+    execution splits large partitions and joins small ones. Where it is off, as
+    inside a streaming micro-batch, ``spread`` tasks share each partition.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *columns)
+    if spread:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
+        return df.repartition(*columns, salt)
+    return df
+
+
 def write_quarantine(lines: DataFrame, path: str) -> None:
     """Malformed lines, apart from every stage output."""
-    malformed_lines(lines).write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    bad = gather(malformed_lines(lines), ["batch_id"])
+    bad.write.mode("overwrite").partitionBy("batch_id").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, *partition_columns: str) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, *columns: str, spread: int | None = None
+) -> None:
     """Replace the partitions ``df`` holds rows of and leave all others alone.
 
     A batch run again, or a task tried again, puts the same rows in the same
     place. Keys a batch no longer has go away with its old partition.
     """
     (
-        df.write.mode("overwrite")
+        gather(df, columns, spread)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_columns)
+        .partitionBy(*columns)
         .parquet(path)
     )

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logquarry import schemas
 from logquarry.functions.patterns import CHUNK_LINES
 
 # Up to this many input splits (about 150 MB of rows) their offsets are broadcast;
@@ -46,8 +48,12 @@ def select_batches(available: Sequence[Batch], choice: str = "all") -> list[Batc
 
 
 def batch_table(spark: SparkSession, batches: Sequence[Batch]) -> DataFrame:
-    rows = [(i, b.label, b.path) for i, b in enumerate(batches, start=1)]
-    return spark.createDataFrame(rows, "batch_id int, batch_label string, path string")
+    """The caller's list as a table. It comes from Arrow, so Spark knows its size."""
+    rows = [
+        {"batch_id": i, "batch_label": b.label, "path": b.path}
+        for i, b in enumerate(batches, start=1)
+    ]
+    return spark.createDataFrame(pa.Table.from_pylist(rows), schemas.BATCHES)
 
 
 def read_batches(spark: SparkSession, batches: Sequence[Batch]) -> DataFrame:

@@ -13,6 +13,7 @@ from logquarry.sinks.files import replace_partitions
 from logquarry.sources.logs import Batch, batch_table
 
 INGEST_KEYS = ("part", "batch_id", "source_id")
+TASKS_PER_FILE = 8
 
 
 def _plain_path(path):
@@ -72,9 +73,8 @@ def ingest_stream(
 
     def write(micro_batch: DataFrame, _: int) -> None:
         grouped = rollup.partials(micro_batch, questions, keys=("source_file",))
-        # One file's rows go to few tasks, and a large file's to several.
-        rows = _with_batch_id(grouped, table).hint("rebalance", *INGEST_KEYS)
-        replace_partitions(rows, target, *INGEST_KEYS)
+        rows = _with_batch_id(grouped, table)
+        replace_partitions(rows, target, *INGEST_KEYS, spread=TASKS_PER_FILE)
 
     return (
         lines.writeStream.foreachBatch(write)
