@@ -1,8 +1,10 @@
 """One scan, one parse, one shuffle for every question.
 
-All questions are counts and sums over the same parsed lines; they differ in
-what they group by. Grouping sets compute them together, so a run over several
-questions reads and parses its input once, holding nothing but group rows.
+All questions are counts and sums over the same parsed lines. Two groupings
+serve them all: lines by kind, date, hour, status and error host, from which
+quality counts, daily traffic and hourly errors add up; and requests by path
+and host. Grouping sets compute both together, so a run over several questions
+reads and parses its input once and keeps nothing but group rows.
 """
 
 from __future__ import annotations
@@ -14,18 +16,19 @@ from pyspark.sql import functions as F
 
 from logquarry.functions import clf
 from logquarry.operators.errors import with_error_rate
-from logquarry.operators.parse import classify_lines, with_resource_path
-
-QUALITY = "quality"
-QUESTION_COLUMNS = {
-    QUALITY: ("line_kind",),
-    "Q1": ("log_date", "status_code"),
-    "Q2": ("resource_path", "host"),
-    "Q3": ("log_date", "log_hour", "error_host"),
+from logquarry.operators.parse import BLANK, MALFORMED, PARSED, classify_lines, with_resource_path
+
+LINES, REQUESTS = "lines", "requests"
+# What the grouping of lines needs for each question, and the type of each column.
+LINE_COLUMNS = {"Q1": ("log_date", "status_code"), "Q3": ("log_date", "log_hour", "error_host")}
+COLUMN_TYPES = {
+    "log_date": "string",
+    "log_hour": "int",
+    "status_code": "int",
+    "resource_path": "string",
+    "host": "string",
+    "error_host": "string",
 }
-# A column that only this question groups by, and one that is NULL on the lines
-# it leaves out.
-MARKER_COLUMN = {QUALITY: "line_kind", "Q1": "status_code", "Q2": "resource_path", "Q3": "log_hour"}
 
 
 def partials(
@@ -33,42 +36,39 @@ def partials(
     questions: Sequence[str] = ("Q1", "Q2", "Q3"),
     keys: Sequence[str] = ("batch_id",),
 ) -> DataFrame:
-    """Group rows of the chosen questions and of the quality counts, per ``keys``.
+    """Group rows for the chosen questions and the quality counts, per ``keys``.
 
-    For hourly errors the host is kept only where it had an error: all other
-    requests of an hour share one row.
+    The grouping of lines holds a host only where it had an error: all other
+    requests of an hour and status share one row.
     """
-    wanted = [QUALITY, *questions]
+    error = clf.is_error(F.col("status_code"))
     rows = classify_lines(lines)
-    if "Q2" in wanted:
+    if "Q2" in questions:
         rows = with_resource_path(rows)
-    error = clf.is_error(F.col("status_code"))
     rows = rows.withColumns(
         {"is_error": F.coalesce(error, F.lit(False)), "error_host": F.when(error, F.col("host"))}
     )
-    columns = list(dict.fromkeys(c for q in wanted for c in QUESTION_COLUMNS[q]))
-    part = F.lit(None).cast("string")
-    for name in wanted:
-        part = F.when(F.grouping(MARKER_COLUMN[name]) == 0, name).otherwise(part)
-    grouped = rows.groupingSets(
-        [[*keys, *QUESTION_COLUMNS[q]] for q in wanted], *keys, *columns
-    ).agg(
-        part.alias("part"),
+    line_columns = dict.fromkeys(c for q in questions for c in LINE_COLUMNS.get(q, ()))
+    by_line = [*keys, "line_kind", *line_columns]
+    measures = [
         F.count("*").alias("req_count"),
         F.sum("bytes").alias("bytes"),
         F.count_if(F.col("is_error")).alias("error_count"),
         F.sum(F.col("line_bytes") + 1).alias("line_bytes"),
-    )
-    kept = F.lit(False)
-    for name in wanted:
-        kept = kept | ((F.col("part") == name) & F.col(MARKER_COLUMN[name]).isNotNull())
-    result = grouped.filter(kept)
-    absent = {"log_date": "string", "log_hour": "int", "status_code": "int",
-              "resource_path": "string", "host": "string", "error_host": "string"}
-    for name, kind in absent.items():
-        if name not in result.columns:
-            result = result.withColumn(name, F.lit(None).cast(kind))
-    return result.select(
+    ]
+    if "Q2" in questions:
+        by_request = [*keys, "resource_path", "host"]
+        part = F.when(F.grouping("line_kind") == 0, LINES).otherwise(REQUESTS)
+        columns = list(dict.fromkeys([*by_line, *by_request]))
+        grouped = (
+            rows.groupingSets([by_line, by_request], *columns)
+            .agg(part.alias("part"), *measures)
+            .filter((F.col("part") == LINES) | F.col("resource_path").isNotNull())
+        )
+    else:
+        grouped = rows.groupBy(*by_line).agg(F.lit(LINES).alias("part"), *measures)
+    absent = {c: F.lit(None).cast(t) for c, t in COLUMN_TYPES.items() if c not in grouped.columns}
+    return grouped.withColumns(absent).select(
         "line_kind",
         "log_date",
         "log_hour",
@@ -84,8 +84,8 @@ def partials(
     )
 
 
-def part_of(stored: DataFrame, name: str) -> DataFrame:
-    return stored.filter(F.col("part") == name)
+def _line_rows(stored: DataFrame) -> DataFrame:
+    return stored.filter(F.col("part") == LINES)
 
 
 def quality_of(stored: DataFrame) -> DataFrame:
@@ -95,13 +95,13 @@ def quality_of(stored: DataFrame) -> DataFrame:
         return F.sum(F.when(kind == name, n).otherwise(0))
 
     return (
-        part_of(stored, QUALITY)
+        _line_rows(stored)
         .groupBy("batch_id")
         .agg(
             F.sum(n).alias("total_lines"),
-            lines_of("blank").alias("blank_lines"),
-            lines_of("malformed").alias("malformed"),
-            lines_of("parsed").alias("records_processed"),
+            lines_of(BLANK).alias("blank_lines"),
+            lines_of(MALFORMED).alias("malformed"),
+            lines_of(PARSED).alias("records_processed"),
             F.sum("line_bytes").alias("batch_bytes"),
         )
     )
@@ -109,20 +109,24 @@ def quality_of(stored: DataFrame) -> DataFrame:
 
 def daily_of(stored: DataFrame) -> DataFrame:
     return (
-        part_of(stored, "Q1")
+        _line_rows(stored)
+        .filter(F.col("line_kind") == PARSED)
         .groupBy("batch_id", "log_date", "status_code")
         .agg(F.sum("req_count").alias("request_count"), F.sum("bytes").alias("total_bytes"))
     )
 
 
 def resource_rows_of(stored: DataFrame) -> DataFrame:
-    return part_of(stored, "Q2").select("batch_id", "resource_path", "host", "req_count", "bytes")
+    return stored.filter(F.col("part") == REQUESTS).select(
+        "batch_id", "resource_path", "host", "req_count", "bytes"
+    )
 
 
 def hourly_of(stored: DataFrame, by_batch: bool = True) -> DataFrame:
     keys = [*(["batch_id"] if by_batch else []), "log_date", "log_hour"]
     counted = (
-        part_of(stored, "Q3")
+        _line_rows(stored)
+        .filter(F.col("log_hour").isNotNull())
         .groupBy(*keys)
         .agg(
             F.sum("req_count").alias("total_requests"),

@@ -204,24 +204,21 @@ _HOST_SETS = """
         from partials group by all"""
 
 _ROLLUP = f"""
-    select 'quality' as part, e.batch_id, case when e.line = '' then 'blank'
-            when regexp_matches(e.line, '{P.CLF_LINE}') then 'parsed' else 'malformed' end as line_kind,
-        null::varchar as log_date, null::int as log_hour, null::int as status_code,
-        null::varchar as resource_path, null::varchar as host, count(*) as req_count,
-        sum(case when regexp_matches(e.line, '{P.CLF_LINE}') then greatest(coalesce(try_cast(
-            {_group(P.CLF_LINE, 'e.line', 5)} as bigint), 0), 0) end)::bigint as bytes,
-        count(*) filter (where try_cast({_group(P.CLF_LINE, 'e.line', 4)} as int)
-            between {P.ERROR_LOW} and {P.ERROR_HIGH}) as error_count
-        from edged e group by all
-    union all select 'Q1', batch_id, null, log_date, null, status_code, null, null, count(*),
+    select 'lines' as part, e.batch_id, case when e.line = '' then 'blank'
+            when p.fits then 'parsed' else 'malformed' end as line_kind,
+        case when fits then split_part(log_time, ':', 1) end as log_date,
+        case when fits then try_cast(split_part(log_time, ':', 2) as int) end as log_hour,
+        try_cast(status as int) as status_code, null::varchar as resource_path,
+        case when try_cast(status as int) between {P.ERROR_LOW} and {P.ERROR_HIGH} then p.host end as host,
+        count(*) as req_count,
+        sum(case when fits then greatest(coalesce(try_cast(bytes_text as bigint), 0), 0) end)::bigint as bytes,
+        count(*) filter (where try_cast(status as int) between {P.ERROR_LOW} and {P.ERROR_HIGH}) as error_count
+        from (select batch_id, line from edged) e
+        left join (select distinct * from split) p on e.batch_id = p.batch_id and e.line = p.line
+        group by all
+    union all select 'requests', batch_id, null, null, null, null, resource_path, host, count(*),
         sum(bytes)::bigint, count(*) filter (where status_code between {P.ERROR_LOW} and {P.ERROR_HIGH})
-        from parsed group by all
-    union all select 'Q2', batch_id, null, null, null, null, resource_path, host, count(*),
-        sum(bytes)::bigint, count(*) filter (where status_code between {P.ERROR_LOW} and {P.ERROR_HIGH})
-        from resources group by all
-    union all select 'Q3', batch_id, null, log_date, log_hour, null, null,
-        case when bad then host end as error_host, count(*), sum(bytes)::bigint,
-        count(*) filter (where bad) from hours group by all"""
+        from resources group by all"""
 
 _CHUNKS = f"""
     select (i // {CHUNK_SIZE} + 1)::int as batch_id, count(*) as line_count,
