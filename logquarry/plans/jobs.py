@@ -49,8 +49,8 @@ def run_questions(
     quality counts and metadata come from those. By default one Spark job covers
     all batches and its wall clock stands on each of their metadata rows (stage
     ``all_batches``). ``per_batch`` runs them one after the other, each with its
-    own time (stage ``batch``). A last row per question without a batch holds the
-    time of its final step (stage ``merge``).
+    own time (stage ``batch``). A last row per question, without a batch, holds the
+    time of the final step they share (stage ``merge``).
     """
     run_id = sink.create_run(spark, store, pipeline_name, run_id)
     partials_path = f"{store}/partials/run_id={run_id}"
@@ -72,12 +72,10 @@ def run_questions(
         ]
 
     stored = read_partials(spark, partials_path)
-    merges = []
-    for question in questions:
-        start = _now_ms()
-        sink.save_results(store, run_id, **{question: question_result(stored, question)})
-        elapsed = _now_ms() - start
-        merges.append({"query_name": question, "stage": "merge", "runtime_ms": elapsed})
+    start = _now_ms()
+    sink.save_results(store, run_id, **{q: question_result(stored, q) for q in questions})
+    elapsed = _now_ms() - start
+    merges = [{"query_name": q, "stage": "merge", "runtime_ms": elapsed} for q in questions]
 
     times = spark.createDataFrame(
         pa.Table.from_pylist(runtimes), "batch_id int, stage string, runtime_ms bigint"

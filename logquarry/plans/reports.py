@@ -51,12 +51,10 @@ def batch_summary(spark: SparkSession, store: str, run_id: int) -> DataFrame:
 
 
 def total_runtime(spark: SparkSession, store: str, run_id: int) -> DataFrame:
-    """Seconds a run took. Its questions share their reading jobs, and batches run
-    together share one, so each job counts once."""
+    """Seconds a run took. Its questions share their jobs, and batches run together
+    share one, so each job counts once."""
     rows = read_store(spark, store, "batch_metadata").filter(F.col("run_id") == run_id)
     jobs = rows.groupBy(
-        "stage",
-        F.when(F.col("stage") == "batch", F.col("batch_id")).alias("batch"),
-        F.when(F.col("stage") == "merge", F.col("query_name")).alias("question"),
+        "stage", F.when(F.col("stage") == "batch", F.col("batch_id")).alias("batch")
     ).agg(F.max("runtime_ms").alias("runtime_ms"))
     return jobs.agg((F.sum("runtime_ms") / 1000).alias("total_runtime_sec"))

@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "decimal": T.DecimalType(12, 2),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """From ``name type`` pairs; unlike Spark's own reader it needs no session."""
+    fields = [column.split() for column in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 RAW_LINES = _struct("batch_id int, line string")
@@ -31,7 +43,7 @@ PARTIALS = _struct(
 RUN_METADATA = _struct("pipeline_name string, execution_timestamp timestamp, run_id bigint")
 BATCH_METADATA = _struct(
     "batch_id int, batch_label string, stage string, batch_size bigint, "
-    "average_batch_size decimal(12,2), batch_bytes bigint, blank_lines bigint, "
+    "average_batch_size decimal, batch_bytes bigint, blank_lines bigint, "
     "malformed_lines bigint, records_processed bigint, runtime_ms bigint, "
     "run_id bigint, query_name string"
 )
