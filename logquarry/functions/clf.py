@@ -10,8 +10,12 @@ from logquarry.functions import patterns as P
 
 
 def trim_edges(line: Column) -> Column:
-    """Strip every character up to U+0020 from both ends (not only spaces)."""
-    return F.btrim(line, F.lit(P.EDGE_CHARACTERS))
+    """Strip every character up to U+0020 from both ends (not only spaces).
+
+    Bytes that are no UTF-8 become U+FFFD first; a stray one would hide the
+    space after it.
+    """
+    return F.btrim(F.make_valid_utf8(line), F.lit(P.EDGE_CHARACTERS))
 
 
 def match_groups(text: Column, pattern: str, groups: int) -> Column:

@@ -28,7 +28,9 @@ def _with_batch_id(grouped: DataFrame, batches: DataFrame) -> DataFrame:
     micro-batches need not follow it.
     """
     places = batches.select("batch_id", _plain_path(F.col("path")).alias("place"))
-    file = _plain_path(F.col("source_file"))
+    # The file's path is URL-encoded, the listed ones are not; '+' stands for itself.
+    decoded = F.url_decode(F.replace(F.col("source_file"), F.lit("+"), F.lit("%2B")))
+    file = _plain_path(decoded)
     placed = grouped.withColumn("file", file).withColumn(
         "folder", F.regexp_replace(F.col("file"), "/[^/]*$", "")
     )

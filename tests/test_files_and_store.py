@@ -256,6 +256,30 @@ def test_ingest_is_exactly_once(spark, batches, tmp_path):
     assert totals(grown) == rows(resources.resource_totals(requests)) != expected
 
 
+def test_ingest_finds_folders_with_odd_names(spark, tmp_path):
+    folder = tmp_path / "logs" / "July 1995+50%"
+    folder.mkdir(parents=True)
+    (folder / "a b.log").write_text(log_lines(1)[0] + "\n")
+    single = tmp_path / "logs" / "august.log"
+    single.write_text("\n".join(log_lines(2)) + "\n")
+    listed = [logs.Batch(f"file://{folder}/", "July"), logs.Batch(str(single), "August")]
+    stored = ingest(spark, f"{tmp_path}/logs", listed, f"{tmp_path}/t", f"{tmp_path}/c")
+    found = {r.batch_id: r.total_lines for r in rollup.quality_of(stored).collect()}
+    assert found == {1: 1, 2: 4}
+
+
+def test_bytes_that_are_no_utf8(spark, tmp_path):
+    good = log_lines(1)[0].encode()
+    lines = [good.replace(b"/p0", b"/p\xe9"), good + b"\xe9 ", b"\xe9", b"\xf0\x9f \t", b" \xff "]
+    (tmp_path / "a.log").write_bytes(b"\n".join(lines) + b"\n")
+    read = logs.read_lines(spark, str(tmp_path)).withColumn("batch_id", F.lit(1))
+    kinds = [r.line_kind for r in parse.classify_lines(read).collect()]
+    assert kinds == ["parsed", "parsed", "malformed", "malformed", "malformed"]
+    paths = [r.resource_path for r in parse.filter_resources(parse.parse_lines(read)).collect()]
+    assert paths == ["/p", "/p0"]
+    assert [r.line for r in parse.malformed_lines(read).collect()] == ["\ufffd"] * 3
+
+
 def test_ingest_stops_at_a_file_no_batch_lists(spark, batches, tmp_path):
     with pytest.raises(StreamingQueryException, match="no batch lists"):
         ingest(spark, f"{tmp_path}/logs", batches[:1], f"{tmp_path}/t", f"{tmp_path}/c")
