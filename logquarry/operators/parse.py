@@ -77,12 +77,6 @@ def malformed_lines(lines: DataFrame) -> DataFrame:
     return classified.select(*_keys(lines, "line"), "line")
 
 
-def _with_request_groups(parsed: DataFrame) -> DataFrame:
-    return parsed.withColumn(
-        "request_groups", clf.match_groups(F.col("request"), P.CLF_REQUEST, 3)
-    )
-
-
 def parse_requests(parsed: DataFrame) -> DataFrame:
     """Method, path and optional protocol; other request texts are skipped."""
     groups = clf.match_groups(F.col("request"), P.CLF_REQUEST, 3)
@@ -100,7 +94,8 @@ def parse_requests(parsed: DataFrame) -> DataFrame:
 def with_resource_path(parsed: DataFrame, path_mode: str = "decoded") -> DataFrame:
     """Add ``method`` and ``resource_path``; the path is NULL unless the request
     has a counted method and its cleaned path starts with '/'."""
-    grouped = _with_request_groups(parsed)
+    groups = clf.match_groups(F.col("request"), P.CLF_REQUEST, 3)
+    grouped = parsed.withColumn("request_groups", groups)
     method = F.get("request_groups", F.lit(0))
     counted = (F.size("request_groups") == 3) & method.isin(*P.METHODS)
     cleaned = clf.clean_path(F.get("request_groups", F.lit(1)), path_mode)

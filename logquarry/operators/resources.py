@@ -77,8 +77,8 @@ def _numbered_sets(pairs: DataFrame, keys: list[str], hosts_per_row: int) -> Dat
     """Number the host sets of each group so that none outgrows a row.
 
     Groups with more than ``hosts_per_row`` hosts are spread over as many sets
-    as they need, by a hash of the host; the others keep one. Both sides of the
-    join start from the shuffle that made ``pairs``.
+    as they need, by a hash of the host; the others keep one. ``pairs`` is read
+    twice, so it should be a stored table and not a query over the logs.
     """
     large = (
         pairs.groupBy(*keys)
@@ -96,7 +96,8 @@ def _joined_hosts():
 
 
 def host_set_partials(partials: DataFrame, hosts_per_row: int = HOSTS_PER_ROW) -> DataFrame:
-    """Per batch and path: counts and the hosts as one '#'-joined text.
+    """Per batch and path: counts and the hosts as one '#'-joined text, from stored
+    partials.
 
     A path with very many hosts takes several rows, each a whole partial of its
     own; the merge adds them up as it adds up batches.
@@ -153,7 +154,7 @@ def merge_host_sets(sets: DataFrame) -> DataFrame:
 
 
 def union_host_sets(sets: DataFrame, hosts_per_row: int = HOSTS_PER_ROW) -> DataFrame:
-    """Union of the host sets of all batches, again as bounded '#'-joined sets."""
+    """Union of the stored host sets of all batches, again as bounded '#'-joined sets."""
     pairs = host_tokens(sets).distinct()
     return (
         _numbered_sets(pairs, ["resource_path"], hosts_per_row)

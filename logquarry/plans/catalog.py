@@ -343,7 +343,7 @@ def q2_stage1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q2_stage1_hostset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resources.host_set_partials(_partials(spark, sf_dir))
+    return resources.host_set_partials(_stored_partials(spark, sf_dir))
 
 
 @query
@@ -371,7 +371,7 @@ def _stored_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q2_tokenized_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All resources, from host sets stored as packed text."""
     path = shared_folder(spark, "host-sets")
-    sets = resources.host_set_partials(_partials(spark, sf_dir))
+    sets = resources.host_set_partials(_stored_partials(spark, sf_dir))
     files.write_tsv(packed.encode_host_sets(sets), path)
     stored = tables.read_tsv(
         spark, path, "batch_id int, packed_key string, packed_value string"
@@ -381,7 +381,14 @@ def q2_tokenized_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q2_hostset_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resources.union_host_sets(resources.host_set_partials(_partials(spark, sf_dir)))
+    def write() -> str:
+        path = shared_folder(spark, "host-sets")
+        sets = resources.host_set_partials(_stored_partials(spark, sf_dir))
+        files.replace_partitions(sets, path, "batch_id")
+        return path
+
+    path = _once(spark, sf_dir, "host-sets", write)
+    return resources.union_host_sets(spark.read.schema(schemas.HOST_SETS).parquet(path))
 
 
 @query

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from logquarry.schemas import STORE_TABLES
+from logquarry.sources.tables import read_store
 
 WRITE_PARTITIONS = 8
 ROWS_PER_INSERT = 10_000
@@ -23,3 +27,12 @@ def write_jdbc(
 ) -> None:
     """Append to a table over at most ``WRITE_PARTITIONS`` connections."""
     df.coalesce(WRITE_PARTITIONS).write.jdbc(url, table, mode=mode, properties=properties)
+
+
+def export_run(
+    spark: SparkSession, store: str, run_id: int, url: str, properties: dict[str, str]
+) -> None:
+    """Append a run's rows of every store table to the tables of the same names."""
+    for table in STORE_TABLES:
+        rows = read_store(spark, store, table).filter(F.col("run_id") == run_id)
+        write_jdbc(rows, url, table, properties)

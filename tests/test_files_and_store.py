@@ -220,6 +220,20 @@ def test_jdbc_properties():
                      "ssl": "true", "batchsize": "10000"}
 
 
+def test_export_takes_one_run_of_every_table(spark, batches, tmp_path, monkeypatch):
+    """The rows and tables handed to the writer; no database is there to take them."""
+    store = f"{tmp_path}/store"
+    jobs.run_q1(spark, store, batches, run_id=1)
+    jobs.run_q1(spark, store, batches[:1], run_id=2)
+    handed = {}
+    monkeypatch.setattr(
+        jdbc, "write_jdbc", lambda df, url, table, properties: handed.update({table: df.collect()})
+    )
+    jdbc.export_run(spark, store, 2, "jdbc:example:x", {})
+    assert set(handed) == set(schemas.STORE_TABLES)
+    assert all(found and {r.run_id for r in found} == {2} for found in handed.values())
+
+
 def test_shared_folder_follows_the_session(spark):
     folder = shared_folder(spark, "x")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))

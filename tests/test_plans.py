@@ -66,6 +66,14 @@ def test_merge_broadcasts_the_ranked_paths_only(spark, lines, tmp_path):
     assert "ReadSchema: struct<resource_path:string,host:string>" in plan
 
 
+@pytest.mark.parametrize("name", ["q2_stage1_hostset", "q2_hostset_union", "q2_stage2_top20"])
+def test_what_reads_twice_reads_stored_rows(spark, sf_dir, name):
+    """Joins back onto the same rows must not parse the logs a second time."""
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert "regexp_replace" not in plan and plan.count("FileScan parquet") == 2
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_only_needed_columns_are_read(spark, sf_dir):
     plan = plan_of(QUERIES["q3_hourly_errors"](spark, sf_dir))
     scan = plan.split("ReadSchema: ")[1].split("\n")[0]
