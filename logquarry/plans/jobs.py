@@ -53,7 +53,9 @@ def run_questions(
     time of the final step they share (stage ``merge``).
     """
     run_id = sink.create_run(spark, store, pipeline_name, run_id)
-    partials_path = f"{store}/partials/run_id={run_id}"
+    # A folder of its own for each attempt: a run done again over fewer batches
+    # must not meet the group rows of the batches it leaves out.
+    partials_path = f"{store}/partials/run_id={run_id}/attempt={time.time_ns()}"
     lines = read_batches(spark, batches).drop("batch_label")
     runtimes = []
     if per_batch:

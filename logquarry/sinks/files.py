@@ -48,7 +48,8 @@ def replace_partitions(
     """Replace the partitions ``df`` holds rows of and leave all others alone.
 
     A batch run again, or a task tried again, puts the same rows in the same
-    place. Keys a batch no longer has go away with its old partition.
+    place. Keys a batch no longer has go away with its old partition; only a batch
+    left without any row keeps it, as nothing says which one to replace.
     """
     (
         gather(df, columns, spread)

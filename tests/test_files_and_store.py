@@ -150,6 +150,20 @@ def test_a_run_again_adds_nothing(spark, batches, tmp_path):
         assert stored.filter("run_id = 2").count() > 0
 
 
+def test_a_run_again_over_fewer_batches_forgets_the_others(spark, batches, tmp_path):
+    jobs.run_all(spark, f"{tmp_path}/a", batches, run_id=1)
+    jobs.run_all(spark, f"{tmp_path}/a", batches[:1], run_id=1)
+    jobs.run_all(spark, f"{tmp_path}/b", batches[:1], run_id=1)
+    for table in schemas.STORE_TABLES:
+        a, b = (
+            tables.read_store(spark, f"{tmp_path}/{s}", table).drop(
+                "runtime_ms", "execution_timestamp"
+            )
+            for s in "ab"
+        )
+        assert rows(a) == rows(b)
+
+
 def test_batch_metadata_and_reports(spark, batches, tmp_path):
     store = f"{tmp_path}/store"
     run = jobs.run_all(spark, store, batches)
