@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.catalog.QUERIES, entry.oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
