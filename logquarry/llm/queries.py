@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.llm import exact_dedup, mixing, sharding
+from logquarry.llm import exact_dedup, mixing, sharding, simhash
 from logquarry.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 ORACLE_SQL = {
     "op2_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
