@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.llm import exact_dedup, mixing, sharding, simhash
+from logquarry.llm import exact_dedup, mixing, sharding, simhash, substring
 from logquarry.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -65,6 +73,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = {
+    "op8_substring": """
+        with texts as (
+          select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words
+          from documents),
+        windows as (
+          select doc_id, i, array_to_string(words[i:i + 34], ' ') as run
+          from (select doc_id, words, unnest(range(1, len(words) - 33)) as i from texts)),
+        repeats as (
+          select doc_id, i from windows qualify count(*) over (partition by run) > 1),
+        removed as (select distinct doc_id, unnest(range(i, i + 35)) as word from repeats),
+        gone as (select doc_id, list(word) as gone from removed group by doc_id)
+        select t.doc_id, len(words) as n_words, len(coalesce(gone, [])) as n_removed,
+               sha256(array_to_string(
+                 [words[j] for j in range(1, len(words) + 1) if not list_contains(coalesce(gone, []), j)],
+                 ' ')) as kept_sha256
+        from texts t left join gone using (doc_id)
+    """,
     "op2_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
