@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.llm import exact_dedup, mixing, sharding, simhash, substring
+from logquarry.llm import exact_dedup, mixing, packing, sharding, simhash, substring
 from logquarry.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,13 @@ def query(fn):
     return fn
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer file that the packing query uses; executors have it installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,6 +69,11 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))

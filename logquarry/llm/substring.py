@@ -21,50 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.llm.common import GROUP_BYTES, stage, text_of
+from logquarry.llm.words import BASES, is_space, mix, run_hashes, span_hashes, word_spans
 
 WINDOW = 35
 # Buckets of hashes are as many as leave the words of this many text bytes to each.
 BUCKET_TEXT_BYTES = 8 << 20
 PIECE_WORDS = 600_000
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BYTE = np.random.default_rng(20_240).integers(1, 1 << 63, 256, dtype=np.uint64)
-_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xF1357AEA2E62A9C5)
-
 
 # --- hashes ----------------------------------------------------------------------------
-def _powers(base: int, n: int) -> np.ndarray:
-    """1, base, base^2, ... modulo 2^64."""
-    out = np.ones(n, np.uint64)
-    have = 1
-    while have < n:
-        more = min(have, n - have)
-        out[have : have + more] = out[:more] * np.uint64(pow(base, have, 1 << 64))
-        have += more
-    return out
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
-
-
-def _run_hashes(values: np.ndarray, first: np.ndarray, after: np.ndarray, base: int) -> np.ndarray:
-    """A 64-bit hash of ``values[first:after]`` for each pair; it depends on those values alone."""
-    n = values.size
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * _powers(base, n), out=sums[1:])
-    return _mix((sums[after] - sums[first]) * _powers(pow(base, -1, 1 << 64), n + 1)[first])
-
-
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each word in UTF-8 bytes; words are parted by ASCII white space."""
-    inside = np.concatenate(([False], ~_SPACE[data], [False]))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return edges[::2], edges[1::2]
-
-
 def word_hashes(text: bytes) -> np.ndarray:
     """A 64-bit hash of each word, taken over pieces of the text so that memory stays bounded."""
     found, at = [], 0
@@ -73,16 +38,16 @@ def word_hashes(text: bytes) -> np.ndarray:
         if end < len(text):
             # A piece ends before white space, or where the text has none, with it.
             data = np.frombuffer(text, np.uint8, GROUP_BYTES, at)
-            spaces = np.flatnonzero(_SPACE[data])
+            spaces = np.flatnonzero(is_space(data))
             if spaces.size:
                 end = at + int(spaces[-1])
             else:
-                rest = np.flatnonzero(_SPACE[np.frombuffer(text, np.uint8, -1, end)])
+                rest = np.flatnonzero(is_space(np.frombuffer(text, np.uint8, -1, end)))
                 end = end + int(rest[0]) if rest.size else len(text)
         data = np.frombuffer(text, np.uint8, end - at, at)
         starts, ends = word_spans(data)
         if starts.size:
-            found.append(_run_hashes(_BYTE[data], starts, ends, _BASES[0]))
+            found.append(span_hashes(data, starts, ends))
         at = max(end, at + 1)
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
@@ -203,7 +168,7 @@ def _block_rows(window: int, buckets: int):
     def run(batches):
         for parts, hashes, starts in _groups(texts(batches), window):
             place = _windows(starts, block)
-            low = _run_hashes(hashes, place, place + block, _BASES[1])
+            low = run_hashes(hashes, place, place + block, BASES[1])
             own = np.repeat(starts[:-1], np.diff(starts))[place]
             offsets = np.repeat([at for _, at, _ in parts], np.diff(starts))[place]
             indexed = (place - own + offsets) % block == 0
@@ -232,8 +197,8 @@ def _window_rows(window: int, buckets: int):
                 np.subtract.at(near, start + to_word, 1)
             place = _windows(starts, window)
             place = place[np.cumsum(near)[place] > 0]
-            low = _run_hashes(hashes, place, place + window, _BASES[1])
-            high = _run_hashes(_mix(hashes), place, place + window, _BASES[2]) >> np.uint64(32)
+            low = run_hashes(hashes, place, place + window, BASES[1])
+            high = run_hashes(mix(hashes), place, place + window, BASES[2]) >> np.uint64(32)
             yield _batch(_group_rows(parts, starts, place, low, high, None, buckets))
 
     return run
