@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.llm import exact_dedup, langid, mixing, packing, sharding, simhash, substring
+from logquarry.llm import exact_dedup, langid, mixing, packing, sharding, simhash, substring, toxicity
 from logquarry.llm.common import held_out, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", "predicted"
+    )
+
+
 @query
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring.remove_repeats(table(spark, sf_dir, "documents"))
