@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import batch_lists, groups_of, held_out, text_of
+from logquarry.llm.common import groups_of, held_out, text_of
 
 UNKNOWN = "und"
 WIDTHS = (2, 3, 4)
@@ -173,21 +174,19 @@ def _scored(net: Network):
     def run(batches):
         score = Scorer(net)
         for batch in batches:
-            ids, texts = batch_lists(batch)
+            *kept, folded_text, lettered = batch.columns
+            texts = [t or b"" for t in folded_text.to_pylist()]
             langs, probs = [], []
-            for _, group in groups_of(ids, texts, 1 << 20):
+            for _, group in groups_of(texts, texts, 1 << 20):
                 some_langs, some_probs = score(group)
                 langs += some_langs
                 probs += some_probs.tolist()
-            lettered = batch.column(2).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).cast(pa.int64()),
-                    pa.array([a if ok else UNKNOWN for a, ok in zip(langs, lettered, strict=True)], pa.string()),
-                    pa.array([p if ok else 1.0 for p, ok in zip(probs, lettered, strict=True)], pa.float64()),
-                ],
-                ["doc_id", "lang_pred", "score"],
-            )
+            sound = lettered.to_pylist()
+            kept += [
+                pa.array([a if ok else UNKNOWN for a, ok in zip(langs, sound, strict=True)], pa.string()),
+                pa.array([p if ok else 1.0 for p, ok in zip(probs, sound, strict=True)], pa.float64()),
+            ]
+            yield pa.RecordBatch.from_arrays(kept, [*batch.schema.names[:-2], "lang_pred", "score"])
 
     return run
 
@@ -229,22 +228,24 @@ def _training_text(batches):
         yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(cut, pa.binary()))
 
 
-def identify(docs: DataFrame, net: Network | None) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row of ``doc_id, text``.
+def identify(docs: DataFrame, net: Network | None, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The ``keep`` columns, ``lang_pred`` and ``score`` of every row of ``doc_id, text``.
 
     The whole text is scored, in windows of ``WINDOW`` bytes. Text that is null or has no letter is
     ``und`` with score 1; without a network all is ``und``, others with score 0. Repeated rows are
-    scored each; an empty table gives no rows; further columns are ignored.
+    scored each; an empty table gives no rows. Kept columns named as the results are replaced.
     """
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select("doc_id", folded().alias("text"), lettered.alias("lettered"))
+    kept = [c for c in keep if c not in ("lang_pred", "score")]
+    rows = docs.select(*kept, folded().alias("folded_text"), lettered.alias("lettered"))
     if net is None:
         return rows.select(
-            F.col("doc_id").cast("long"),
+            *kept,
             F.lit(UNKNOWN).alias("lang_pred"),
             F.when(F.col("lettered"), 0.0).otherwise(1.0).alias("score"),
         )
-    return rows.mapInArrow(_scored(net), "doc_id long, lang_pred string, score double")
+    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(_scored(net), schema)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

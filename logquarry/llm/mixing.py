@@ -90,8 +90,8 @@ def mix(
 ) -> DataFrame:
     """How much of each row of ``doc_id, source, text`` the mix takes.
 
-    Returns ``doc_id, size, source_size, target, taken, copies`` per row; sizes are in words and
-    ``taken`` is ``copies * size``. Each source's documents, shuffled by a seeded hash, are queued
+    Returns ``doc_id, text_hash, size, source_size, target, taken, copies`` per row; sizes are in
+    words and ``taken`` is ``copies * size``. Each source's documents, shuffled by a seeded hash, are queued
     once per epoch. A copy finishes at virtual time (words of its source up to its end) / target.
     All copies are taken in order of finish time, source and hash, until one does not fit the sum
     of all sizes.
@@ -103,7 +103,14 @@ def mix(
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = stage(
-        docs.select("doc_id", "source", word_count().alias("size"), key.alias("key")), "sizes"
+        docs.select(
+            "doc_id",
+            "source",
+            F.xxhash64(text_of()).alias("text_hash"),
+            word_count().alias("size"),
+            key.alias("key"),
+        ),
+        "sizes",
     )
     buckets = max(1, -(-sized.count() // rows_per_bucket))
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
@@ -135,6 +142,7 @@ def mix(
     queued = stage(
         sized.join(starts, ["name", "bucket"]).select(
             "doc_id",
+            "text_hash",
             "size",
             "source_size",
             "source_rank",
@@ -163,6 +171,7 @@ def mix(
     counted = F.when(F.col("size") > 0, taken_copies).otherwise(F.lit(0))
     return queued.select(
         "doc_id",
+        "text_hash",
         "size",
         "source_size",
         "target",

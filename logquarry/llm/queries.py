@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.llm import exact_dedup, langid, mixing, packing, sharding, simhash, substring, toxicity
+from logquarry.llm import (
+    chat,
+    exact_dedup,
+    langid,
+    mixing,
+    packing,
+    sharding,
+    simhash,
+    substring,
+    topk,
+    toxicity,
+)
 from logquarry.llm.common import held_out, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One half of the documents, by a hash of the id, is the snapshot; the other arrives."""
@@ -39,7 +56,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("text_hash", "copies")
 
 
 @query
@@ -49,6 +66,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
@@ -101,6 +123,36 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = {
+    "op1_topk": """
+        with vectors as (
+          select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
+          from embeddings
+          where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+          select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+          from vectors q join vectors c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+        ranked as (
+          select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank,
+                 vec_id, score from scored)
+        select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank <= 20
+    """,
+    "op5_chat": """
+        with convs as (
+          select conv_id, count(*) as n_turns,
+                 list({'role': role, 'text': text} order by turn, role, text) as turns
+          from conversations group by conv_id),
+        prefixes as (
+          select distinct turns[1:n] as prefix
+          from (select turns, unnest(range(1, n_turns)) as n from convs)),
+        distinct_convs as (
+          select min(conv_id) as conv_id, n_turns, turns, count(*) as snapshots
+          from convs group by n_turns, turns)
+        select conv_id, n_turns, snapshots,
+               array_to_string(list_transform(turns, lambda t:
+                 '<|im_start|>' || coalesce(t.role, 'unknown') || chr(10) || coalesce(t.text, '')
+                 || '<|im_end|>' || chr(10)), '') as chat
+        from distinct_convs d where not exists (select 1 from prefixes p where p.prefix = d.turns)
+    """,
     "op8_substring": """
         with texts as (
           select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import batch_lists, stage, text_of
+from logquarry.llm.common import stage, text_of
 
 SHINGLE_WORDS = 3
 HASH_SEED = 42
@@ -55,18 +55,21 @@ def fingerprint(text: bytes, words_each: int = SHINGLE_WORDS) -> int:
 
 def _fingerprints(batches):
     for batch in batches:
-        ids, texts = batch_lists(batch)
+        texts = batch.column("text").to_pylist()
         prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(prints)], ["doc_id", "fp"]
+            [batch.column(0), batch.column(1), pa.array(prints)], ["doc_id", "text_hash", "fp"]
         )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` (a signed long) of every row of ``doc_id, text``; null text counts as empty."""
-    return docs.select("doc_id", text_of().cast("binary").alias("text")).mapInArrow(
-        _fingerprints, "doc_id long, fp long"
-    )
+    """``doc_id, text_hash, fp`` (a signed long) of every row of ``doc_id, text``; null text counts
+    as empty."""
+    return docs.select(
+        F.col("doc_id").cast("long"),
+        F.xxhash64(text_of()).alias("text_hash"),
+        text_of().cast("binary").alias("text"),
+    ).mapInArrow(_fingerprints, "doc_id long, text_hash long, fp long")
 
 
 # --- links -----------------------------------------------------------------------------
@@ -186,36 +189,43 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 # --- the operator ----------------------------------------------------------------------
 def near_duplicates(docs: DataFrame, large_entry: int = LARGE_ENTRY) -> DataFrame:
-    """``doc_id, fp, component_id, component_size`` of every row of ``doc_id, text``.
+    """``doc_id, text_hash, fp, component_id, component_size, stays`` of every row of ``doc_id, text``.
 
     Documents are linked when their fingerprints differ in two bits at most, texts without words
     (fingerprint 0) like all others; ``component_id`` is the least id a document can reach, itself
-    included. Equal fingerprints are one node, so copies never meet in pairs. Null ids count
-    as greater than all; where a component has no other, its id is null. Repeated rows share
-    their fingerprint. An empty table gives no rows; further columns are ignored.
+    included, and ``stays`` marks that document (of several texts with that id, the one of least
+    hash). Equal fingerprints are one node, so copies never meet in pairs. Null ids count as greater
+    than all; where a component has no other, its id is null. Rows that repeat an id with its
+    text are one document. An empty table gives no rows; further columns are ignored.
     """
     prints = stage(fingerprints(docs), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash"))
     nodes = stage(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")),
-        "nodes",
+        prints.groupBy("fp").agg(first.alias("least"), F.count(F.lit(1)).alias("n")), "nodes"
     )
     roots = components(links(nodes.select("fp"), large_entry))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least_id", "n", F.coalesce("root", "fp").alias("root")
-    )
-    members = stage(rooted, "members")
-    whole = members.groupBy("root").agg(
-        F.min("least_id").alias("component_id"), F.sum("n").alias("component_size")
+    members = stage(
+        nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+            "fp", "least", "n", F.coalesce("root", "fp").alias("root")
+        ),
+        "members",
     )
+    whole = members.groupBy("root").agg(F.min("least").alias("least"), F.sum("n").alias("component_size"))
     groups = stage(
-        members.select("fp", "root").join(stage(whole, "whole"), "root").drop("root").filter("component_size > 1"),
+        members.select("fp", "root")
+        .join(stage(whole.filter("component_size > 1"), "whole"), "root")
+        .drop("root"),
         "components",
     )
+    alone = F.col("component_size").isNull()
     return prints.join(groups, "fp", "left").select(
         "doc_id",
+        "text_hash",
         "fp",
-        F.when(F.col("component_size").isNull(), F.col("doc_id"))
-        .otherwise(F.col("component_id"))
-        .alias("component_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
         F.coalesce("component_size", F.lit(1).cast("long")).alias("component_size"),
+        (
+            alone
+            | F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+        ).alias("stays"),
     )
