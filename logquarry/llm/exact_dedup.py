@@ -225,7 +225,8 @@ def exact_dedup(docs: DataFrame, snapshot_docs: DataFrame) -> DataFrame:
 def _same_bytes(docs: DataFrame, snapshot_docs: DataFrame, both: DataFrame) -> DataFrame:
     """The digests whose two texts, one of either side, are the same bytes.
 
-    A side without a known id has no text to fetch; there the digest decides.
+    A side without a known id has no text to fetch; there the digest decides. The ids grow with the
+    data, so they are shuffled to the texts at every size and not broadcast at some.
     """
     wanted = both.select(
         "text_sha256", F.explode(F.array("keep_id", "old_id")).alias("wanted_id")
@@ -234,7 +235,7 @@ def _same_bytes(docs: DataFrame, snapshot_docs: DataFrame, both: DataFrame) -> D
         docs.select("doc_id", "text")
         .unionByName(snapshot_docs.select("doc_id", "text"))
         .withColumn("text", text_of())
-        .join(wanted, F.col("doc_id") == F.col("wanted_id"))
+        .join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted_id"))
         .filter(F.sha2("text", 256) == F.col("text_sha256"))
     )
     unequal = (
