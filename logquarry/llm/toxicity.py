@@ -25,7 +25,7 @@ TRAIN_DOCUMENTS = 20_000
 PRIOR = 0.5
 LOWERED_BY = 2.5
 # Lowered log-odds below this tell nothing: copies of a document share their words.
-LEAST_ODDS = 1.2
+LEAST_ODDS = 1.0
 PENALTY = 0.1
 SIGN_WORDS = 5
 # Longer words also count by their first bytes, so that unseen forms of a stem are known.
