@@ -31,7 +31,7 @@ def with_average_size(quality: DataFrame) -> DataFrame:
     """Batch size in lines and the mean over the run's batches (a few rows)."""
     every = Window.partitionBy()
     return quality.withColumn("batch_size", F.col("total_lines")).withColumn(
-        "average_batch_size", F.avg("total_lines").over(every).cast("decimal(12,2)")
+        "average_batch_size", F.avg("total_lines").over(every).cast("decimal(20,2)")
     )
 
 

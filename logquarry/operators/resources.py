@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from logquarry.functions.patterns import HOST_SEPARATOR, TOP_RESOURCES
 
-HOSTS_PER_ROW = 10_000
+# Hosts of a path are spread over 16^HOST_DIGITS sets, by the first hex digits of their md5.
+HOST_DIGITS = 2
 
 
 def top_resources(totals: DataFrame, n: int = TOP_RESOURCES) -> DataFrame:
@@ -73,44 +74,25 @@ def merge_top_resources(partials: DataFrame, n: int = TOP_RESOURCES) -> DataFram
     return top_resources(counted, n)
 
 
-def _numbered_sets(pairs: DataFrame, keys: list[str], hosts_per_row: int) -> DataFrame:
-    """Number the host sets of each group so that none outgrows a row.
-
-    Groups with more than ``hosts_per_row`` hosts are spread over as many sets
-    as they need, by a hash of the host; the others keep one. ``pairs`` is read
-    twice, so it should be a stored table and not a query over the logs.
-    """
-    large = (
-        pairs.groupBy(*keys)
-        .agg(F.count("*").alias("host_count"))
-        .filter(F.col("host_count") > hosts_per_row)
-    )
-    sets = F.ceil(F.coalesce(F.col("host_count"), F.lit(1)) / hosts_per_row)
-    return pairs.join(large, keys, "left").withColumn(
-        "host_part", F.pmod(F.xxhash64("host"), sets).cast("int")
-    )
+def _host_part(digits: int):
+    return F.substring(F.md5("host"), 1, digits)
 
 
 def _joined_hosts():
     return F.array_join(F.array_sort(F.collect_list("host")), HOST_SEPARATOR)
 
 
-def host_set_partials(partials: DataFrame, hosts_per_row: int = HOSTS_PER_ROW) -> DataFrame:
-    """Per batch and path: counts and the hosts as one '#'-joined text, from stored
-    partials.
+def host_set_partials(partials: DataFrame, digits: int = HOST_DIGITS) -> DataFrame:
+    """Per batch and path: counts and the hosts as '#'-joined texts.
 
-    A path with very many hosts takes several rows, each a whole partial of its
-    own; the merge adds them up as it adds up batches.
+    Every path's hosts are split by the same rule, the first ``digits`` hex digits of their md5
+    (``host_part``), whatever their number. Each row is a whole partial of its own, and a path that
+    most hosts ask for is spread over as many groups; the merge adds them up as it adds up batches.
     """
-    keys = ["batch_id", "resource_path"]
-    return (
-        _numbered_sets(partials, keys, hosts_per_row)
-        .groupBy(*keys, "host_part")
-        .agg(
-            F.sum("req_count").alias("request_count"),
-            F.sum("bytes").alias("total_bytes"),
-            _joined_hosts().alias("hosts"),
-        )
+    return partials.groupBy("batch_id", "resource_path", _host_part(digits).alias("host_part")).agg(
+        F.sum("req_count").alias("request_count"),
+        F.sum("bytes").alias("total_bytes"),
+        _joined_hosts().alias("hosts"),
     )
 
 
@@ -153,11 +135,16 @@ def merge_host_sets(sets: DataFrame) -> DataFrame:
     )
 
 
-def union_host_sets(sets: DataFrame, hosts_per_row: int = HOSTS_PER_ROW) -> DataFrame:
-    """Union of the stored host sets of all batches, again as bounded '#'-joined sets."""
-    pairs = host_tokens(sets).distinct()
-    return (
-        _numbered_sets(pairs, ["resource_path"], hosts_per_row)
-        .groupBy("resource_path", "host_part")
-        .agg(F.count("*").alias("host_count"), _joined_hosts().alias("hosts"))
+def union_host_sets(sets: DataFrame, digits: int = HOST_DIGITS) -> DataFrame:
+    """Union of the stored host sets of all batches, split by the same rule, in one pass."""
+    found = (
+        host_tokens(sets)
+        .groupBy("resource_path", _host_part(digits).alias("host_part"))
+        .agg(F.array_sort(F.collect_set("host")).alias("found"))
+    )
+    return found.select(
+        "resource_path",
+        "host_part",
+        F.size("found").cast("bigint").alias("host_count"),
+        F.array_join("found", HOST_SEPARATOR).alias("hosts"),
     )

@@ -163,7 +163,7 @@ def _both_runs(select) -> str:
 def _batch_rows(batches: str) -> str:
     return f"""
     select query_name, batch_id, {_LABEL} as batch_label, 'all_batches' as stage,
-        total_lines as batch_size, (avg(total_lines) over ())::decimal(12,2) as average_batch_size,
+        total_lines as batch_size, (avg(total_lines) over ())::decimal(20,2) as average_batch_size,
         batch_bytes, blank_lines, malformed as malformed_lines, records_processed
         from quality where batch_id in ({batches})"""
 
@@ -199,7 +199,7 @@ _DECODED = """
         'damaged' || chr(9) || line from split, (select unnest(['Q1', 'Q2', 'Q3']) as q) where not fits"""
 
 _HOST_SETS = """
-    select batch_id, 0 as host_part, resource_path, sum(req_count)::bigint as request_count,
+    select batch_id, substr(md5(host), 1, 2) as host_part, resource_path, sum(req_count)::bigint as request_count,
         sum(bytes)::bigint as total_bytes, string_agg(host, '#' order by host) as hosts
         from partials group by all"""
 
@@ -258,7 +258,7 @@ ORACLE: dict[str, str] = {
         case when status_code between {P.ERROR_LOW} and {P.ERROR_HIGH} then 1 else 0 end as is_error,
         case when status_code >= {P.ERROR_LOW} then 1 else 0 end as is_error_ge400 from parsed""",
     "parse_quality": """select *, total_lines as batch_size,
-        (avg(total_lines) over ())::decimal(12,2) as average_batch_size from quality""",
+        (avg(total_lines) over ())::decimal(20,2) as average_batch_size from quality""",
     "parity_audit": _audit(),
     "q1_by_batch": "select * from daily_batches",
     "q1_daily_status": "select * from daily",
@@ -270,7 +270,7 @@ ORACLE: dict[str, str] = {
     "q2_stage2": "select * from totals",
     "q2_stage2_top20": _top("select * from totals"),
     "q2_tokenized_merge": "select * from totals",
-    "q2_hostset_union": """select 0 as host_part, resource_path, count(distinct host) as host_count,
+    "q2_hostset_union": """select substr(md5(host), 1, 2) as host_part, resource_path, count(distinct host) as host_count,
         string_agg(distinct host, '#' order by host) as hosts from resources group by all""",
     "q2_resources": "select * from totals",
     "q2_top20": _top("select * from totals"),

@@ -11,7 +11,7 @@ _TYPES = {
     "double": T.DoubleType(),
     "string": T.StringType(),
     "timestamp": T.TimestampType(),
-    "decimal": T.DecimalType(12, 2),
+    "decimal": T.DecimalType(20, 2),
 }
 
 
@@ -27,7 +27,7 @@ RESOURCE_PARTIALS = _struct(
     "batch_id int, resource_path string, host string, req_count bigint, bytes bigint"
 )
 HOST_SETS = _struct(
-    "batch_id int, host_part int, resource_path string, "
+    "batch_id int, host_part string, resource_path string, "
     "request_count bigint, total_bytes bigint, hosts string"
 )
 PACKED = _struct("packed_key string, packed_value string")

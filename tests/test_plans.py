@@ -2,7 +2,7 @@
 
 import pytest
 
-from logquarry.operators import errors, parse, resources, rollup, traffic
+from logquarry.operators import errors, parse, quality, resources, rollup, traffic
 from logquarry.plans.catalog import QUERIES
 from logquarry.sinks import files
 from logquarry.sources.corpus import corpus_lines
@@ -66,11 +66,11 @@ def test_merge_broadcasts_the_ranked_paths_only(spark, lines, tmp_path):
     assert "ReadSchema: struct<resource_path:string,host:string>" in plan
 
 
-@pytest.mark.parametrize("name", ["q2_stage1_hostset", "q2_hostset_union", "q2_stage2_top20"])
-def test_what_reads_twice_reads_stored_rows(spark, sf_dir, name):
-    """Joins back onto the same rows must not parse the logs a second time."""
+@pytest.mark.parametrize("name, reads", [("q2_stage1_hostset", 1), ("q2_hostset_union", 1), ("q2_stage2_top20", 2)])
+def test_what_reads_twice_reads_stored_rows(spark, sf_dir, name, reads):
+    """Joins back onto the same rows must not parse the logs a second time; host sets need none."""
     plan = plan_of(QUERIES[name](spark, sf_dir))
-    assert "regexp_replace" not in plan and plan.count("FileScan parquet") == 2
+    assert "regexp_replace" not in plan and plan.count("FileScan parquet") == reads
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -78,3 +78,18 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     plan = plan_of(QUERIES["q3_hourly_errors"](spark, sf_dir))
     scan = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert scan.count(":") == 6  # the event columns a log line is made of
+
+
+def test_host_sets_shuffle_once_by_part_and_join_nothing(spark):
+    partials = spark.range(100).selectExpr(
+        "id % 2 as batch_id", "concat('/p', id % 3) as resource_path", "concat('h', id) as host", "1L as req_count", "1L as bytes"
+    )
+    plan = plan_of(resources.host_set_partials(partials))
+    assert "Join" not in plan and plan.count("Exchange") == 1 and "hashpartitioning(batch_id" in plan
+    assert "_groupingexpression" in plan or "host_part" in plan
+
+
+def test_average_batch_size_holds_large_batches(spark):
+    rows = spark.createDataFrame([(1, 600_000_000_000), (2, 400_000_000_000)], "batch_id int, total_lines long")
+    averages = quality.with_average_size(rows).select("average_batch_size").collect()
+    assert [float(r[0]) for r in averages] == [5e11, 5e11]
