@@ -201,14 +201,18 @@ def fit(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS) -> Network | None
     wanted = (
         labelled.filter("lang is not null")
         .select("doc_id", F.xxhash64("doc_id").alias("h"))
+        .distinct()
         .orderBy("h", "doc_id")
         .limit(documents)
     )
+    # An id may repeat without end, so the rows are bounded as the ids are.
     rows = (
         labelled.join(F.broadcast(wanted), "doc_id")
         .select("h", "doc_id", "lang", folded().alias("text"))
         .filter("lang is not null")
         .mapInArrow(_training_text, "h long, doc_id long, lang string, text binary")
+        .orderBy("h", "doc_id", "lang", "text")
+        .limit(documents)
         .collect()
     )
     rows.sort(key=lambda r: (r["h"], r["doc_id"], r["lang"], r["text"]))

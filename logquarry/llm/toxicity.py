@@ -207,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, documents: int = TRAIN_DOCUMENTS) ->
         "labelled",
     )
     # One of each group of near copies: a passage that was copied is no more evidence than one.
-    singles = labelled.groupBy("sign", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    singles = labelled.groupBy("sign", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     sample = stage(
         labelled.join(F.broadcast(singles), "doc_id").withColumn(
             "fold", F.pmod(F.xxhash64("sign"), F.lit(2)).cast("int")
