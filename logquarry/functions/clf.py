@@ -65,6 +65,11 @@ def byte_count(text: Column) -> Column:
     return F.when(text == "-", zero).otherwise(number)
 
 
+def total_bytes(size: Column) -> Column:
+    """Sum of sizes of up to 64 bits each, in 38 digits: no number of lines overflows it."""
+    return F.sum(size.cast("decimal(28,0)"))
+
+
 def is_error(status_code: Column, mode: str = "4xx5xx") -> Column:
     """``4xx5xx``: 400 to 599. ``ge400``: 400 and up, also 600 to 999."""
     if mode == "4xx5xx":

@@ -66,6 +66,11 @@ def _part(column: str, index: int, of: int) -> Column:
     return F.when(F.size(parts) == of, F.get(parts, F.lit(index)))
 
 
+def _whole(text: Column) -> Column:
+    """A whole number of up to 38 digits, else NULL."""
+    return F.when(text.rlike(r"^[+-]?[0-9]{1,38}$"), text.try_cast("decimal(38,0)"))
+
+
 def decode_daily(df: DataFrame) -> DataFrame:
     return _flag_corrupt(
         df,
@@ -73,7 +78,7 @@ def decode_daily(df: DataFrame) -> DataFrame:
             ("log_date", F.nullif(_part("packed_key", 0, 2), F.lit(""))),
             ("status_code", _part("packed_key", 1, 2).try_cast("int")),
             ("request_count", _part("packed_value", 0, 2).try_cast("bigint")),
-            ("total_bytes", _part("packed_value", 1, 2).try_cast("bigint")),
+            ("total_bytes", _whole(_part("packed_value", 1, 2))),
         ],
     )
 
@@ -84,7 +89,7 @@ def decode_resources(df: DataFrame) -> DataFrame:
         [
             ("resource_path", F.nullif(F.col("packed_key"), F.lit(""))),
             ("request_count", _part("packed_value", 0, 3).try_cast("bigint")),
-            ("total_bytes", _part("packed_value", 1, 3).try_cast("bigint")),
+            ("total_bytes", _whole(_part("packed_value", 1, 3))),
             ("distinct_hosts", _part("packed_value", 2, 3).try_cast("bigint")),
         ],
     )
@@ -123,6 +128,6 @@ def decode_host_sets(df: DataFrame) -> DataFrame:
         "batch_id",
         F.col("packed_key").alias("resource_path"),
         field(0).try_cast("bigint").alias("request_count"),
-        field(1).try_cast("bigint").alias("total_bytes"),
+        _whole(field(1)).alias("total_bytes"),
         field(2).alias("hosts"),
     )

@@ -6,9 +6,10 @@ host, and the merge counts hosts over all of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logquarry.functions import clf
 from logquarry.functions.patterns import HOST_SEPARATOR, TOP_RESOURCES
 
 # Hosts of a path are spread over 16^HOST_DIGITS sets, by the first hex digits of their md5.
@@ -24,7 +25,7 @@ def resource_totals(requests: DataFrame) -> DataFrame:
     """All resources straight from the requests, in one pass."""
     return requests.groupBy("resource_path").agg(
         F.count("*").alias("request_count"),
-        F.sum("bytes").alias("total_bytes"),
+        clf.total_bytes(F.col("bytes")).alias("total_bytes"),
         F.count_distinct("host").alias("distinct_hosts"),
     )
 
@@ -32,7 +33,7 @@ def resource_totals(requests: DataFrame) -> DataFrame:
 def resource_partials(requests: DataFrame) -> DataFrame:
     """Per batch: one row per path and host."""
     return requests.groupBy("batch_id", "resource_path", "host").agg(
-        F.count("*").alias("req_count"), F.sum("bytes").alias("bytes")
+        F.count("*").alias("req_count"), clf.total_bytes(F.col("bytes")).alias("bytes")
     )
 
 
@@ -55,8 +56,9 @@ def merge_top_resources(partials: DataFrame, n: int = TOP_RESOURCES) -> DataFram
     """The first ``n`` of :func:`merge_partials`, from stored partials.
 
     Ranking needs only the sums, so paths are ranked first and hosts are counted
-    for the ``n`` ranked paths alone. The second read keeps the rows of those
-    paths through a broadcast of ``n`` rows: no shuffle of all path-host pairs.
+    for the ``n`` ranked paths alone. Spark knows the size of a limit: for a small
+    ``n`` the second read keeps the rows of those paths through a broadcast, with no
+    shuffle of all path-host pairs.
     """
     rows = partials.dropna(subset=["resource_path", "host"])
     sums = (
@@ -67,7 +69,7 @@ def merge_top_resources(partials: DataFrame, n: int = TOP_RESOURCES) -> DataFram
     ranked = top_resources(sums, n)
     counted = (
         rows.select("resource_path", "host")
-        .join(F.broadcast(ranked), "resource_path")
+        .join(ranked, "resource_path")
         .groupBy("resource_path", "request_count", "total_bytes")
         .agg(F.count_distinct("host").alias("distinct_hosts"))
     )
@@ -78,8 +80,17 @@ def _host_part(digits: int):
     return F.substring(F.md5("host"), 1, digits)
 
 
-def _joined_hosts():
-    return F.array_join(F.array_sort(F.collect_list("host")), HOST_SEPARATOR)
+def _joined(hosts: Column) -> Column:
+    """Hosts as one text, in order; '#' within a host, and '%', are written as escapes."""
+    escaped = F.transform(
+        F.array_sort(hosts),
+        lambda h: F.replace(F.replace(h, F.lit("%"), F.lit("%25")), F.lit(HOST_SEPARATOR), F.lit("%23")),
+    )
+    return F.array_join(escaped, HOST_SEPARATOR)
+
+
+def _unescaped(host: Column) -> Column:
+    return F.replace(F.replace(host, F.lit("%23"), F.lit(HOST_SEPARATOR)), F.lit("%25"), F.lit("%"))
 
 
 def host_set_partials(partials: DataFrame, digits: int = HOST_DIGITS) -> DataFrame:
@@ -92,15 +103,14 @@ def host_set_partials(partials: DataFrame, digits: int = HOST_DIGITS) -> DataFra
     return partials.groupBy("batch_id", "resource_path", _host_part(digits).alias("host_part")).agg(
         F.sum("req_count").alias("request_count"),
         F.sum("bytes").alias("total_bytes"),
-        _joined_hosts().alias("hosts"),
+        _joined(F.collect_list("host")).alias("hosts"),
     )
 
 
 def host_tokens(sets: DataFrame) -> DataFrame:
     """One row per path and listed host, empty names left out."""
-    return sets.select(
-        "resource_path", F.explode(F.split("hosts", HOST_SEPARATOR)).alias("host")
-    ).filter(F.col("host") != "")
+    listed = sets.select("resource_path", F.explode(F.split("hosts", HOST_SEPARATOR)).alias("host"))
+    return listed.filter(F.col("host") != "").withColumn("host", _unescaped(F.col("host")))
 
 
 def merge_host_sets(sets: DataFrame) -> DataFrame:
@@ -110,7 +120,7 @@ def merge_host_sets(sets: DataFrame) -> DataFrame:
     host, so a set is read once and counts are not multiplied by its hosts.
     """
     listed = F.filter(F.split("hosts", HOST_SEPARATOR), lambda h: h != "")
-    no_counts = F.lit(0).cast("bigint")
+    no_requests, no_bytes = F.lit(0).cast("bigint"), F.lit(0).cast("decimal(38,0)")
     tokens = sets.select(
         "resource_path",
         F.explode(
@@ -119,11 +129,11 @@ def merge_host_sets(sets: DataFrame) -> DataFrame:
                     F.struct(
                         F.lit(None).cast("string").alias("host"),
                         F.col("request_count").alias("n"),
-                        F.col("total_bytes").alias("b"),
+                        F.col("total_bytes").cast("decimal(38,0)").alias("b"),
                     )
                 ),
                 F.transform(
-                    listed, lambda h: F.struct(h.alias("host"), no_counts.alias("n"), no_counts.alias("b"))
+                    listed, lambda h: F.struct(h.alias("host"), no_requests.alias("n"), no_bytes.alias("b"))
                 ),
             )
         ).alias("t"),
@@ -140,11 +150,11 @@ def union_host_sets(sets: DataFrame, digits: int = HOST_DIGITS) -> DataFrame:
     found = (
         host_tokens(sets)
         .groupBy("resource_path", _host_part(digits).alias("host_part"))
-        .agg(F.array_sort(F.collect_set("host")).alias("found"))
+        .agg(F.collect_set("host").alias("found"))
     )
     return found.select(
         "resource_path",
         "host_part",
         F.size("found").cast("bigint").alias("host_count"),
-        F.array_join("found", HOST_SEPARATOR).alias("hosts"),
+        _joined(F.col("found")).alias("hosts"),
     )

@@ -26,7 +26,7 @@ COLUMN_TYPES = {
     "log_hour": "int",
     "status_code": "int",
     "resource_path": "string",
-    "host": "string",
+    "request_host": "string",
     "error_host": "string",
 }
 
@@ -44,7 +44,9 @@ def partials(
     error = clf.is_error(F.col("status_code"))
     rows = classify_lines(lines)
     if "Q2" in questions:
-        rows = with_resource_path(rows)
+        # All requests without a path share a row a task: they are dropped after the grouping.
+        wanted = F.col("resource_path").isNotNull()
+        rows = with_resource_path(rows).withColumn("request_host", F.when(wanted, F.col("host")))
     rows = rows.withColumns(
         {"is_error": F.coalesce(error, F.lit(False)), "error_host": F.when(error, F.col("host"))}
     )
@@ -52,12 +54,12 @@ def partials(
     by_line = [*keys, "line_kind", *line_columns]
     measures = [
         F.count("*").alias("req_count"),
-        F.sum("bytes").alias("bytes"),
+        clf.total_bytes(F.col("bytes")).alias("bytes"),
         F.count_if(F.col("is_error")).alias("error_count"),
         F.sum(F.col("line_bytes") + 1).alias("line_bytes"),
     ]
     if "Q2" in questions:
-        by_request = [*keys, "resource_path", "host"]
+        by_request = [*keys, "resource_path", "request_host"]
         part = F.when(F.grouping("line_kind") == 0, LINES).otherwise(REQUESTS)
         columns = list(dict.fromkeys([*by_line, *by_request]))
         grouped = (
@@ -74,7 +76,7 @@ def partials(
         "log_hour",
         "status_code",
         "resource_path",
-        F.coalesce("host", "error_host").alias("host"),
+        F.coalesce("request_host", "error_host").alias("host"),
         "req_count",
         "bytes",
         "error_count",

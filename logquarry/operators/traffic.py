@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logquarry.functions import clf
+
 
 def daily_status(parsed: DataFrame, by_batch: bool = False) -> DataFrame:
     keys = [*(["batch_id"] if by_batch else []), "log_date", "status_code"]
     return parsed.groupBy(*keys).agg(
-        F.count("*").alias("request_count"), F.sum("bytes").alias("total_bytes")
+        F.count("*").alias("request_count"), clf.total_bytes(F.col("bytes")).alias("total_bytes")
     )
 
 

@@ -13,6 +13,7 @@ from logquarry.operators import errors, parse, quality, resources, rollup, traff
 from logquarry.plans import jobs, reports
 from logquarry.plans.workspace import shared_folder
 from logquarry.sinks import files
+from logquarry.sinks.store import create_tables
 from logquarry.sources import logs, tables
 from logquarry.sources.corpus import BATCH_LABELS, corpus_lines
 from logquarry.streaming.ingest import ingest_stream
@@ -172,7 +173,7 @@ def out_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.replace_output(errors.hourly_errors(parsed), path)
     files.replace_output(traffic.daily_status(parsed), path)
     return spark.read.schema(
-        "log_date string, status_code int, request_count bigint, total_bytes bigint"
+        "log_date string, status_code int, request_count bigint, total_bytes decimal(38,0)"
     ).parquet(path)
 
 
@@ -188,6 +189,16 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.RESOURCE_PARTIALS).parquet(path)
 
 
+@query
+def merge_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch has no rows any more, so its earlier ones go."""
+    path = shared_folder(spark, "emptied")
+    partials = _partials(spark, sf_dir)
+    files.replace_partitions(partials, path, "batch_id")
+    files.replace_partitions(partials.filter(F.col("batch_id") > 2), path, "batch_id", named=[2])
+    return spark.read.schema(schemas.RESOURCE_PARTIALS).parquet(path)
+
+
 @query
 def malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "quarantine")
@@ -211,16 +222,19 @@ def _packed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
-@query
-def packed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packed rows back to columns. Malformed log lines stand in for damaged rows."""
-    path = shared_folder(spark, "packed")
-    damaged = parse.malformed_lines(corpus_lines(spark, sf_dir)).select(
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse.malformed_lines(corpus_lines(spark, sf_dir)).select(
         F.explode(F.array(F.lit("Q1"), F.lit("Q2"), F.lit("Q3"))).alias("query_name"),
         F.lit("damaged").alias("packed_key"),
         F.col("line").alias("packed_value"),
     )
-    _packed_results(spark, sf_dir).unionByName(damaged).write.partitionBy("query_name").parquet(path)
+
+
+@query
+def packed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed rows back to columns. Malformed log lines stand in for damaged rows."""
+    path = shared_folder(spark, "packed")
+    _packed_results(spark, sf_dir).unionByName(_damaged(spark, sf_dir)).write.partitionBy("query_name").parquet(path)
     stored = spark.read.schema(
         "packed_key string, packed_value string, query_name string"
     ).parquet(path)
@@ -236,6 +250,21 @@ def packed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.unionByName(decoded[2], allowMissingColumns=True)
 
 
+@query
+def packed_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed outputs, each with damaged rows, loaded into a result store."""
+    root = shared_folder(spark, "packed-outputs")
+    _packed_results(spark, sf_dir).unionByName(_damaged(spark, sf_dir)).select(
+        "query_name", F.concat_ws("\t", "packed_key", "packed_value").alias("value")
+    ).write.partitionBy("query_name").text(root)
+    outputs = {name: f"{root}/query_name={name}" for name in jobs.QUESTIONS}
+    store = shared_folder(spark, "imported")
+    run_id = jobs.import_packed(spark, store, outputs, run_id=FIRST_RUN)
+    kept = tables.read_store(spark, store, "query_results").drop("run_id", "batch_id")
+    corrupt = jobs.read_corrupt(spark, store, run_id)
+    return kept.unionByName(corrupt, allowMissingColumns=True)
+
+
 # --- projections and filters -------------------------------------------------
 
 
@@ -282,7 +311,7 @@ def bytes_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bytes_union_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parse.tag_byte_branches(_parsed(spark, sf_dir))
     return rows.groupBy("byte_branch", "log_date", "status_code").agg(
-        F.count("*").alias("request_count"), F.sum("bytes").alias("total_bytes")
+        F.count("*").alias("request_count"), clf.total_bytes(F.col("bytes")).alias("total_bytes")
     )
 
 
@@ -447,6 +476,12 @@ def q3_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors.hourly_errors(parsed, error_mode="ge400")
 
 
+@query
+def q3_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = parse.parse_strict(corpus_lines(spark, sf_dir), "clock_hourly")
+    return errors.hourly_errors(parsed, error_mode="ge400")
+
+
 # --- result store, reports and jobs ------------------------------------------
 
 
@@ -455,6 +490,15 @@ def query_results_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_store(spark, _store(spark, sf_dir), "query_results")
 
 
+@query
+def store_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored results, read by the name of their table."""
+    store = _store(spark, sf_dir)
+    database = "logquarry_" + store.rsplit("-", 1)[-1]
+    create_tables(spark, store, database)
+    return spark.table(f"{database}.query_results")
+
+
 @query
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs with the result rows each has stored; the time of the run is left out."""
@@ -534,6 +578,32 @@ def job_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _job_results(spark, sf_dir, jobs.run_all)
 
 
+@query
+def job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of all questions done again with one of them: the others' rows go."""
+    store, batches = shared_folder(spark, "job"), log_batches(spark, sf_dir)
+    jobs.run_all(spark, store, batches, run_id=LATEST_RUN)
+    jobs.run_q1(spark, store, batches, run_id=LATEST_RUN, anew=True)
+    return tables.read_store(spark, store, "query_results").drop("run_id")
+
+
+@query
+def job_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose batches are chunks of consecutive lines."""
+    paths = [b.path for b in log_batches(spark, sf_dir)]
+    chunks = logs.chunk_lines(spark, paths, shared_folder(spark, "chunks"), CHUNK_SIZE)
+    store = shared_folder(spark, "job")
+    return reports.report_q1(spark, store, jobs.run_q1(spark, store, chunks, run_id=FIRST_RUN))
+
+
+@query
+def job_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The malformed lines that a run sets aside."""
+    path = shared_folder(spark, "quarantine")
+    _job_results(spark, sf_dir, jobs.run_q1, quarantine=path)
+    return spark.read.schema(schemas.RAW_LINES).parquet(path)
+
+
 @query
 def rollup_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group rows of all questions that one pass leaves."""
@@ -553,3 +623,23 @@ def ingest_stream_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resources.merge_top_resources(
         rollup.resource_rows_of(jobs.read_partials(spark, target))
     )
+
+
+@query
+def ingest_nested_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from folders below those listed; the nearest listed one decides."""
+
+    def write() -> str:
+        root = shared_folder(spark, "nested-logs")
+        lines = corpus_lines(spark, sf_dir)
+        for i, folder in ((1, "year/part"), (2, "year/august/deep/part")):
+            lines.filter(F.col("batch_id") == i).select("line").write.text(f"{root}/{folder}")
+        return root
+
+    root = _once(spark, sf_dir, "nested-logs", write)
+    listed = [logs.Batch(f"{root}/year", "July"), logs.Batch(f"{root}/year/august", "August")]
+    target = shared_folder(spark, "ingest")
+    ingest_stream(spark, root, listed, target, f"{target}-state").awaitTermination()
+    return resources.merge_top_resources(
+        rollup.resource_rows_of(jobs.read_partials(spark, target))
+    )

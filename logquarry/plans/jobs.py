@@ -10,11 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry import schemas
+from logquarry.functions import packed
 from logquarry.operators import rollup
 from logquarry.operators.quality import with_average_size
 from logquarry.operators.resources import merge_top_resources
 from logquarry.sinks import store as sink
-from logquarry.sinks.files import replace_partitions
+from logquarry.sinks.files import (
+    delete_folder,
+    folders_in,
+    replace_output,
+    replace_partitions,
+    write_quarantine,
+)
 from logquarry.sources.logs import Batch, batch_table, read_batches
 
 QUESTIONS = ("Q1", "Q2", "Q3")
@@ -37,14 +44,22 @@ def read_partials(spark: SparkSession, path: str) -> DataFrame:
 def run_questions(
     spark: SparkSession,
     store: str,
-    batches: Sequence[Batch],
+    batches: Sequence[Batch] | DataFrame,
     questions: Sequence[str] = QUESTIONS,
     run_id: int | None = None,
     pipeline_name: str = "spark",
     per_batch: bool = False,
+    quarantine: str | None = None,
+    anew: bool = False,
+    database: str | None = None,
 ) -> int:
     """Run ``questions`` over ``batches``, fill the result store, return the run id.
 
+    ``batches`` may also be rows of ``batch_id, line``, such as chunks. What the run has stored
+    under its id for these questions is replaced, and with ``anew`` for all questions.
+    Malformed lines go to the folder ``quarantine`` where one is named, and tables that
+    ``database`` has of the store are brought up to date.
+
     The logs are read and parsed once, into group rows per batch; all results,
     quality counts and metadata come from those. By default one Spark job covers
     all batches and its wall clock stands on each of their metadata rows (stage
@@ -56,7 +71,12 @@ def run_questions(
     # A folder of its own for each attempt: a run done again over fewer batches
     # must not meet the group rows of the batches it leaves out.
     partials_path = f"{store}/partials/run_id={run_id}/attempt={time.time_ns()}"
-    lines = read_batches(spark, batches).drop("batch_label")
+    chunked = isinstance(batches, DataFrame)
+    if chunked and per_batch:
+        raise ValueError("rows with a batch id run together")
+    lines = batches.select("batch_id", "line") if chunked else read_batches(spark, batches).drop("batch_label")
+    if quarantine:
+        write_quarantine(lines, quarantine)
     runtimes = []
     if per_batch:
         for i in range(1, len(batches) + 1):
@@ -68,25 +88,31 @@ def run_questions(
         start = _now_ms()
         write_partials(lines, partials_path, questions)
         elapsed = _now_ms() - start
-        runtimes = [
-            {"batch_id": i, "stage": "all_batches", "runtime_ms": elapsed}
-            for i in range(1, len(batches) + 1)
-        ]
 
     stored = read_partials(spark, partials_path)
     start = _now_ms()
+    sink.clear_run(spark, store, run_id, None if anew else questions)
     sink.save_results(store, run_id, **{q: question_result(stored, q) for q in questions})
-    elapsed = _now_ms() - start
-    merges = [{"query_name": q, "stage": "merge", "runtime_ms": elapsed} for q in questions]
+    merge_elapsed = _now_ms() - start
+    merges = [{"query_name": q, "stage": "merge", "runtime_ms": merge_elapsed} for q in questions]
 
-    times = spark.createDataFrame(
-        pa.Table.from_pylist(runtimes), "batch_id int, stage string, runtime_ms bigint"
-    )
+    sized = with_average_size(rollup.quality_of(stored))
+    if chunked:
+        label = F.concat(F.lit("chunk "), F.col("batch_id").cast("string"))
+        sized = sized.withColumn("batch_label", label)
+    else:
+        sized = batch_table(spark, batches).drop("path").join(sized, "batch_id")
+    if per_batch:
+        times = spark.createDataFrame(
+            pa.Table.from_pylist(runtimes), "batch_id int, stage string, runtime_ms bigint"
+        )
+        sized = sized.join(times, "batch_id")
+    else:
+        sized = sized.withColumns(
+            {"stage": F.lit("all_batches"), "runtime_ms": F.lit(elapsed).cast("bigint")}
+        )
     batch_rows = (
-        batch_table(spark, batches)
-        .drop("path")
-        .join(times, "batch_id")
-        .join(with_average_size(rollup.quality_of(stored)), "batch_id")
+        sized
         .withColumn("query_name", F.explode(F.array(*[F.lit(q) for q in questions])))
         .withColumnRenamed("malformed", "malformed_lines")
     )
@@ -104,9 +130,58 @@ def run_questions(
         ),
         store,
     )
+    for attempt in folders_in(spark, f"{store}/partials/run_id={run_id}"):
+        if attempt.rsplit("/", 1)[-1] != partials_path.rsplit("/", 1)[-1]:
+            delete_folder(spark, attempt)
+    if database:
+        sink.refresh_tables(spark, database)
+    return run_id
+
+
+DECODERS = {"Q1": packed.decode_daily, "Q2": packed.decode_resources, "Q3": packed.decode_hourly}
+
+
+def import_packed(
+    spark: SparkSession,
+    store: str,
+    outputs: dict[str, str],
+    run_id: int | None = None,
+    pipeline_name: str = "import",
+) -> int:
+    """Load packed outputs, a folder for each question, into the result store; return the run id.
+
+    A row is cut at its first tab. Rows that cannot be decoded are kept apart, whole
+    (see :func:`read_corrupt`). The outputs hold no batches, so ``batch_id`` is NULL.
+    """
+    run_id = sink.create_run(spark, store, pipeline_name, run_id)
+    value = F.col("value")
+    key = F.substring_index(value, "\t", 1)
+    rest = F.when(value.contains("\t"), F.substring(value, F.length(key) + 2, F.length(value)))
+    decoded = {
+        name: DECODERS[name](
+            spark.read.text(path).select(key.alias("packed_key"), rest.alias("packed_value"))
+        )
+        for name, path in outputs.items()
+    }
+    sink.clear_run(spark, store, run_id, list(outputs))
+    sound = {n: df.filter(F.col("_corrupt").isNull()).drop("_corrupt") for n, df in decoded.items()}
+    sink.save_results(store, run_id, **sound)
+    for name, df in decoded.items():
+        replace_output(
+            df.filter(F.col("_corrupt").isNotNull()).select("_corrupt"),
+            f"{store}/packed_corrupt/run_id={run_id}/query_name={name}",
+        )
     return run_id
 
 
+def read_corrupt(spark: SparkSession, store: str, run_id: int) -> DataFrame:
+    """``query_name, _corrupt``: the rows of packed outputs that could not be decoded."""
+    rows = spark.read.schema("_corrupt string, run_id bigint, query_name string").parquet(
+        f"{store}/packed_corrupt"
+    )
+    return rows.filter(F.col("run_id") == run_id).select("query_name", "_corrupt")
+
+
 def question_result(stored: DataFrame, question: str) -> DataFrame:
     """Daily and hourly results per batch; top resources over all batches, so
     their ``batch_id`` is NULL."""

@@ -50,14 +50,14 @@ _STEPS = {
     "cleaned": f"select *, {_printable(_decoded('path'))} as resource_path from counted",
     "resources": "select * from cleaned where starts_with(resource_path, '/')",
     "partials": """select batch_id, resource_path, host, count(*) as req_count,
-        sum(bytes)::bigint as bytes from resources group by all""",
-    "totals": """select resource_path, count(*) as request_count, sum(bytes)::bigint as total_bytes,
+        sum(bytes)::decimal(38,0) as bytes from resources group by all""",
+    "totals": """select resource_path, count(*) as request_count, sum(bytes)::decimal(38,0) as total_bytes,
         count(distinct host) as distinct_hosts from resources group by all""",
     "hours": f"select *, status_code between {P.ERROR_LOW} and {P.ERROR_HIGH} as bad from parsed where log_hour is not null",
     "daily": """select log_date, status_code, count(*) as request_count,
-        sum(bytes)::bigint as total_bytes from parsed group by all""",
+        sum(bytes)::decimal(38,0) as total_bytes from parsed group by all""",
     "daily_batches": """select batch_id, log_date, status_code, count(*) as request_count,
-        sum(bytes)::bigint as total_bytes from parsed group by all""",
+        sum(bytes)::decimal(38,0) as total_bytes from parsed group by all""",
     "hourly": f"""select log_date, log_hour, count(*) as total_requests,
         count(*) filter (where bad) as error_request_count,
         count(distinct host) filter (where bad) as distinct_error_hosts,
@@ -103,7 +103,7 @@ _STRICT_BYTES = "greatest(coalesce(try_cast(bytes as bigint), 0), 0)"
 
 
 def _by_path(path_select: str) -> str:
-    return f"""select resource_path, count(*) as request_count, sum(bytes)::bigint as total_bytes,
+    return f"""select resource_path, count(*) as request_count, sum(bytes)::decimal(38,0) as total_bytes,
         count(distinct host) as distinct_hosts from ({path_select}) group by all"""
 
 
@@ -140,7 +140,7 @@ def _results(batches: str) -> str:
     union all select null, 'Q2', null, null, null, resource_path, request_count, total_bytes,
         distinct_hosts, null, null, null, null from (
             select resource_path, sum(req_count)::bigint as request_count,
-                sum(bytes)::bigint as total_bytes, count(distinct host) as distinct_hosts
+                sum(bytes)::decimal(38,0) as total_bytes, count(distinct host) as distinct_hosts
             from partials where batch_id in ({batches}) group by all
             order by request_count desc, resource_path limit {P.TOP_RESOURCES})
     union all select batch_id, 'Q3', log_date, log_hour, null, null, null, null, null,
@@ -200,7 +200,7 @@ _DECODED = """
 
 _HOST_SETS = """
     select batch_id, substr(md5(host), 1, 2) as host_part, resource_path, sum(req_count)::bigint as request_count,
-        sum(bytes)::bigint as total_bytes, string_agg(host, '#' order by host) as hosts
+        sum(bytes)::decimal(38,0) as total_bytes, string_agg(host, '#' order by host) as hosts
         from partials group by all"""
 
 _ROLLUP = f"""
@@ -211,13 +211,13 @@ _ROLLUP = f"""
         try_cast(status as int) as status_code, null::varchar as resource_path,
         case when try_cast(status as int) between {P.ERROR_LOW} and {P.ERROR_HIGH} then p.host end as host,
         count(*) as req_count,
-        sum(case when fits then greatest(coalesce(try_cast(bytes_text as bigint), 0), 0) end)::bigint as bytes,
+        sum(case when fits then greatest(coalesce(try_cast(bytes_text as bigint), 0), 0) end)::decimal(38,0) as bytes,
         count(*) filter (where try_cast(status as int) between {P.ERROR_LOW} and {P.ERROR_HIGH}) as error_count
         from (select batch_id, line from edged) e
         left join (select distinct * from split) p on e.batch_id = p.batch_id and e.line = p.line
         group by all
     union all select 'requests', batch_id, null, null, null, null, resource_path, host, count(*),
-        sum(bytes)::bigint, count(*) filter (where status_code between {P.ERROR_LOW} and {P.ERROR_HIGH})
+        sum(bytes)::decimal(38,0), count(*) filter (where status_code between {P.ERROR_LOW} and {P.ERROR_HIGH})
         from resources group by all"""
 
 _CHUNKS = f"""
@@ -239,6 +239,7 @@ ORACLE: dict[str, str] = {
     "tsv_roundtrip": "select * from partials",
     "out_replace": "select * from daily",
     "merge_upsert": "select * from partials",
+    "merge_emptied": "select * from partials where batch_id = 1",
     "malformed_quarantine": "select batch_id, line from split where not fits",
     "packed_encode": _PACKED,
     "packed_decode": _DECODED,
@@ -251,7 +252,7 @@ ORACLE: dict[str, str] = {
     "bytes_coerce": "select batch_id, bytes_text, bytes from parsed",
     "bytes_union_branches": """select case when bytes_text = '-' then 'dash' when bytes_text = '' then 'empty'
         when try_cast(bytes_text as bigint) >= 0 then 'valid' else 'other' end as byte_branch,
-        log_date, status_code, count(*) as request_count, sum(bytes)::bigint as total_bytes
+        log_date, status_code, count(*) as request_count, sum(bytes)::decimal(38,0) as total_bytes
         from parsed group by all""",
     "log_date_hour": "select batch_id, log_time, log_date, log_hour from parsed",
     "error_flag": f"""select batch_id, status_code,
@@ -263,7 +264,7 @@ ORACLE: dict[str, str] = {
     "q1_by_batch": "select * from daily_batches",
     "q1_daily_status": "select * from daily",
     "q1_strict": f"""select substr(log_time, 1, 11) as log_date, status::int as status_code,
-        count(*) as request_count, sum({_STRICT_BYTES})::bigint as total_bytes
+        count(*) as request_count, sum({_STRICT_BYTES})::decimal(38,0) as total_bytes
         from {_strict('strict_daily')} group by all""",
     "q2_stage1": "select * from partials",
     "q2_stage1_hostset": _HOST_SETS,
@@ -285,7 +286,9 @@ ORACLE: dict[str, str] = {
     "q3_hourly_errors": "select * from hourly",
     "q3_ge400": _hourly_over("(select * from parsed where log_hour is not null)", f"status_code >= {P.ERROR_LOW}"),
     "q3_strict": _hourly_over(_strict("strict_hourly"), f"status::int >= {P.ERROR_LOW}"),
+    "q3_clock": _hourly_over(_strict("clock_hourly"), f"status::int >= {P.ERROR_LOW}"),
     "query_results_wide": _both_runs(_results),
+    "store_tables": _both_runs(_results),
     "run_metadata": f"""select run_id, 'spark' as pipeline_name, count(*) as result_rows
         from ({_both_runs(_results)}) group by run_id""",
     "batch_metadata": _both_runs(_batch_metadata),
@@ -307,8 +310,13 @@ ORACLE: dict[str, str] = {
     "job_q2": f"select * from ({_results(_ALL)}) where query_name = 'Q2'",
     "job_q3": f"select * from ({_results(_ALL)}) where query_name = 'Q3'",
     "job_all": _results(_ALL),
+    "job_rerun": f"select * from ({_results(_ALL)}) where query_name = 'Q1'",
+    "job_chunks": "select * from daily",
+    "job_quarantine": "select batch_id, line from split where not fits",
+    "packed_import": _DECODED,
     "rollup_partials": _ROLLUP,
     "ingest_stream_top20": _top("select * from totals"),
+    "ingest_nested_top20": _top("select * from totals"),
 }
 
 

@@ -12,6 +12,8 @@ _TYPES = {
     "string": T.StringType(),
     "timestamp": T.TimestampType(),
     "decimal": T.DecimalType(20, 2),
+    # Sums of sizes, each of up to 64 bits.
+    "total": T.DecimalType(38, 0),
 }
 
 
@@ -24,11 +26,11 @@ def _struct(text: str) -> T.StructType:
 RAW_LINES = _struct("batch_id int, line string")
 BATCHES = _struct("batch_id int, batch_label string, path string")
 RESOURCE_PARTIALS = _struct(
-    "batch_id int, resource_path string, host string, req_count bigint, bytes bigint"
+    "batch_id int, resource_path string, host string, req_count bigint, bytes total"
 )
 HOST_SETS = _struct(
     "batch_id int, host_part string, resource_path string, "
-    "request_count bigint, total_bytes bigint, hosts string"
+    "request_count bigint, total_bytes total, hosts string"
 )
 PACKED = _struct("packed_key string, packed_value string")
 
@@ -36,7 +38,7 @@ PACKED = _struct("packed_key string, packed_value string")
 # columns that question groups by are set.
 PARTIALS = _struct(
     "line_kind string, log_date string, log_hour int, status_code int, resource_path string, "
-    "host string, req_count bigint, bytes bigint, error_count bigint, line_bytes bigint, "
+    "host string, req_count bigint, bytes total, error_count bigint, line_bytes bigint, "
     "part string, batch_id int"
 )
 
@@ -52,7 +54,7 @@ MALFORMED_SUMMARY = _struct(
 )
 QUERY_RESULTS = _struct(
     "batch_id int, log_date string, log_hour int, status_code int, resource_path string, "
-    "request_count bigint, total_bytes bigint, distinct_hosts bigint, "
+    "request_count bigint, total_bytes total, distinct_hosts bigint, "
     "error_request_count bigint, total_requests bigint, error_rate double, "
     "distinct_error_hosts bigint, run_id bigint, query_name string"
 )

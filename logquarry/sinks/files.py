@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.operators.parse import malformed_lines
@@ -42,15 +42,38 @@ def write_quarantine(lines: DataFrame, path: str) -> None:
     bad.write.mode("overwrite").partitionBy("batch_id").parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; one that is not there is no error."""
+    system, place = file_system(spark, path)
+    system.delete(place, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    system, place = file_system(spark, path)
+    return [s.getPath().toString() for s in system.listStatus(place) if s.isDirectory()]
+
+
 def replace_partitions(
-    df: DataFrame, path: str, *columns: str, spread: int | None = None
+    df: DataFrame,
+    path: str,
+    *columns: str,
+    spread: int | None = None,
+    named: Sequence[object] = (),
 ) -> None:
     """Replace the partitions ``df`` holds rows of and leave all others alone.
 
     A batch run again, or a task tried again, puts the same rows in the same
-    place. Keys a batch no longer has go away with its old partition; only a batch
-    left without any row keeps it, as nothing says which one to replace.
+    place. Keys a batch no longer has go away with its old partition. ``named`` values of
+    the first column are replaced also where ``df`` has no row of them; their earlier rows go
+    before the new ones come, so a write that failed must be done again.
     """
+    for value in named:
+        delete_folder(df.sparkSession, f"{path}/{columns[0]}={value}")
     (
         gather(df, columns, spread)
         .write.mode("overwrite")

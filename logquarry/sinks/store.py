@@ -7,6 +7,7 @@ write replaces the partitions it fills, so a repeated step adds no rows.
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logquarry.schemas import STORE_TABLES
-from logquarry.sinks.files import replace_partitions
+from logquarry.sinks.files import delete_folder, replace_partitions
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,6 +35,15 @@ def append(df: DataFrame, store: str, table: str) -> None:
     replace_partitions(conform(df, schema), f"{store}/{table}", *partition_columns)
 
 
+def clear_run(spark: SparkSession, store: str, run_id: int, questions: Sequence[str] | None = None) -> None:
+    """Forget what a run has stored, of some questions or of all, before it is stored anew."""
+    for table, (_, partition_columns) in STORE_TABLES.items():
+        if "query_name" in partition_columns:
+            run = f"{store}/{table}/run_id={run_id}"
+            for folder in [run] if questions is None else [f"{run}/query_name={q}" for q in questions]:
+                delete_folder(spark, folder)
+
+
 def create_run(
     spark: SparkSession, store: str, pipeline_name: str, run_id: int | None = None
 ) -> int:
@@ -68,11 +78,18 @@ def save_malformed(rows: DataFrame, store: str) -> None:
 
 
 def create_tables(spark: SparkSession, store: str, database: str) -> None:
-    """Register the store's tables in the session catalog."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    """Register the store's tables, with all they hold, in the session catalog."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{store}/_catalog'")
     for table, (schema, partition_columns) in STORE_TABLES.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}) USING parquet "
             f"PARTITIONED BY ({', '.join(partition_columns)}) LOCATION '{store}/{table}'"
         )
+    refresh_tables(spark, database)
+
+
+def refresh_tables(spark: SparkSession, database: str) -> None:
+    """Let registered tables show the runs stored since, and forget those cleared."""
+    for table in STORE_TABLES:
+        spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}` SYNC PARTITIONS")

@@ -213,8 +213,6 @@ def test_store_tables_in_the_catalog(spark, batches, tmp_path):
     store = f"{tmp_path}/store"
     jobs.run_q1(spark, store, batches, run_id=1)
     sink.create_tables(spark, store, "access_logs")
-    for table in schemas.STORE_TABLES:
-        spark.sql(f"MSCK REPAIR TABLE access_logs.{table}")
     found = spark.sql(
         "select sum(request_count) from access_logs.query_results where run_id = 1 and query_name = 'Q1'"
     ).first()[0]
