@@ -52,12 +52,13 @@ def run_questions(
     quarantine: str | None = None,
     anew: bool = False,
     database: str | None = None,
+    recursive: bool = False,
 ) -> int:
     """Run ``questions`` over ``batches``, fill the result store, return the run id.
 
     ``batches`` may also be rows of ``batch_id, line``, such as chunks. What the run has stored
     under its id for these questions is replaced, and with ``anew`` for all questions.
-    Malformed lines go to the folder ``quarantine`` where one is named, and tables that
+    ``recursive`` descends into the folders of batches. Malformed lines go to the folder ``quarantine`` where one is named, and tables that
     ``database`` has of the store are brought up to date.
 
     The logs are read and parsed once, into group rows per batch; all results,
@@ -74,14 +75,19 @@ def run_questions(
     chunked = isinstance(batches, DataFrame)
     if chunked and per_batch:
         raise ValueError("rows with a batch id run together")
-    lines = batches.select("batch_id", "line") if chunked else read_batches(spark, batches).drop("batch_label")
+    lines = (
+        batches.select("batch_id", "line")
+        if chunked
+        else read_batches(spark, batches, recursive).drop("batch_label")
+    )
     if quarantine:
         write_quarantine(lines, quarantine)
     runtimes = []
     if per_batch:
         for i in range(1, len(batches) + 1):
             start = _now_ms()
-            write_partials(lines.filter(F.col("batch_id") == i), partials_path, questions)
+            one = read_batches(spark, batches, recursive, only=i).drop("batch_label")
+            write_partials(one, partials_path, questions)
             elapsed = _now_ms() - start
             runtimes.append({"batch_id": i, "stage": "batch", "runtime_ms": elapsed})
     else:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.operators.parse import malformed_lines
+from logquarry.sources.places import file_system
 from logquarry.sources.tables import TSV_OPTIONS
 
 
@@ -42,11 +43,6 @@ def write_quarantine(lines: DataFrame, path: str) -> None:
     bad.write.mode("overwrite").partitionBy("batch_id").parquet(path)
 
 
-def file_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
-
-
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds; one that is not there is no error."""
     system, place = file_system(spark, path)

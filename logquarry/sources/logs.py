@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Container, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -12,10 +11,11 @@ from pyspark.sql import functions as F
 
 from logquarry import schemas
 from logquarry.functions.patterns import CHUNK_LINES
+from logquarry.sources.places import distinct_places, listed_files, with_batch_id
 
-# Up to this many input splits (about 150 MB of rows) their offsets are broadcast;
-# beyond it Spark picks the join.
-BROADCAST_SPLITS = 1_000_000
+# Up to this many input splits (40 bytes each, 500 TB of logs at the default split size) their
+# offsets are broadcast; beyond it Spark picks the join.
+BROADCAST_SPLITS = 4_000_000
 
 
 class Batch(NamedTuple):
@@ -56,20 +56,56 @@ def batch_table(spark: SparkSession, batches: Sequence[Batch]) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_pylist(rows), schemas.BATCHES)
 
 
-def read_batches(spark: SparkSession, batches: Sequence[Batch]) -> DataFrame:
-    """``batch_id, batch_label, line`` over all batches as one DataFrame, so that
-    one job covers them all."""
-    parts = [
-        read_lines(spark, batch.path).select(
-            F.lit(i).cast("int").alias("batch_id"), F.lit(batch.label).alias("batch_label"), "line"
-        )
-        for i, batch in enumerate(batches, start=1)
+def read_batches(
+    spark: SparkSession,
+    batches: Sequence[Batch],
+    recursive: bool = False,
+    only: int | None = None,
+) -> DataFrame:
+    """``batch_id, batch_label, line`` over all batches, or that numbered ``only``.
+
+    One reader covers all of them, and the batch of a line comes from its file's path: that of the
+    nearest listed place. Paths may be patterns; ``recursive`` descends into folders.
+    """
+    listed = [
+        (i, path, place)
+        for i, found in enumerate(listed_files(spark, [b.path for b in batches]), start=1)
+        for path, place in found
     ]
-    return reduce(DataFrame.unionByName, parts)
+    places = distinct_places([(i, place) for i, _, place in listed])
+    asked = {place: path for i, path, place in listed if only in (None, i)}
+    # What lies in another listed folder comes with that one.
+    paths = [path for place, path in asked.items() if not _read_with(place, asked, recursive)]
+    rows = (
+        spark.read.option("recursiveFileLookup", recursive)
+        .text(paths)
+        .select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
+    )
+    placed = with_batch_id(rows, F.col("source_file"), places)
+    if only is not None:
+        placed = placed.filter(F.col("batch_id") == only)
+    labels = batch_table(spark, batches).drop("path")
+    return placed.join(labels, "batch_id").select("batch_id", "batch_label", "line")
+
+
+def _read_with(place: str, asked: Container[str], recursive: bool) -> bool:
+    """Whether a reader of another of the ``asked`` places reads this one too."""
+    above = place.rsplit("/", 1)[0]
+    while "/" in above:
+        if above in asked:
+            return True
+        if not recursive:
+            return False
+        above = above.rsplit("/", 1)[0]
+    return False
 
 
 def chunk_lines(
-    spark: SparkSession, paths: Sequence[str], staging: str, lines_per_chunk: int = CHUNK_LINES
+    spark: SparkSession,
+    paths: Sequence[str],
+    staging: str,
+    lines_per_chunk: int = CHUNK_LINES,
+    broadcast_splits: int = BROADCAST_SPLITS,
 ) -> DataFrame:
     """Cut logs into batches of ``lines_per_chunk`` consecutive lines.
 
@@ -77,12 +113,16 @@ def chunk_lines(
     staged once with the input split they came from and a number that rises
     within the split, so that numbering does not depend on how a second read
     would be planned. The only thing totalled in one task is the list of splits:
-    one row per input split (128 MB by default), never one per line.
+    one row per input split (128 MB by default), never one per line. Lines meet
+    their split by numbers: its start and 128 bits of hash of the file's path.
     """
+    path = F.col("_metadata.file_path")
     (
         spark.read.text(list(paths))
         .select(
-            F.col("_metadata.file_path").alias("source_file"),
+            path.alias("source_file"),
+            F.xxhash64(path).alias("file_a"),
+            F.xxhash64(F.lit(1), path).alias("file_b"),
             F.col("_metadata.file_block_start").alias("split_start"),
             F.monotonically_increasing_id().alias("line_number"),
             F.col("value").alias("line"),
@@ -90,19 +130,21 @@ def chunk_lines(
         .write.mode("overwrite")
         .parquet(f"{staging}/lines")
     )
+    key = ["file_a", "file_b", "split_start"]
     staged = spark.read.schema(
-        "source_file string, split_start bigint, line_number bigint, line string"
+        "source_file string, file_a bigint, file_b bigint, split_start bigint, line_number bigint, line string"
     ).parquet(f"{staging}/lines")
-    splits = staged.groupBy("source_file", "split_start").agg(
-        F.count("*").alias("line_count"), F.min("line_number").alias("first_number")
+    splits = staged.groupBy(*key).agg(
+        F.min("source_file").alias("source_file"),
+        F.count("*").alias("line_count"),
+        F.min("line_number").alias("first_number"),
     )
     before = Window.orderBy("source_file", "split_start").rowsBetween(
         Window.unboundedPreceding, -1
     )
     (
         splits.select(
-            "source_file",
-            "split_start",
+            *key,
             "first_number",
             F.coalesce(F.sum("line_count").over(before), F.lit(0)).alias("lines_before"),
         )
@@ -110,12 +152,12 @@ def chunk_lines(
         .parquet(f"{staging}/splits")
     )
     offsets = spark.read.schema(
-        "source_file string, split_start bigint, first_number bigint, lines_before bigint"
+        "file_a bigint, file_b bigint, split_start bigint, first_number bigint, lines_before bigint"
     ).parquet(f"{staging}/splits")
-    if offsets.count() <= BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
+    small = offsets.count() <= broadcast_splits
+    offsets = F.broadcast(offsets) if small else offsets.hint("merge")
     position = F.col("lines_before") + F.col("line_number") - F.col("first_number")
-    return staged.join(offsets, ["source_file", "split_start"]).select(
+    return staged.join(offsets, key).select(
         (F.floor(position / lines_per_chunk) + 1).cast("int").alias("batch_id"),
         position.alias("line_index"),
         "line",

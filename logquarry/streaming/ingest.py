@@ -2,70 +2,36 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logquarry.operators import rollup
-from logquarry.sinks.files import file_system, replace_partitions
+from logquarry.sinks.files import replace_partitions
 from logquarry.sources.logs import Batch
+from logquarry.sources.places import distinct_places, place_of, with_batch_id
 
 INGEST_KEYS = ("part", "batch_id", "source_id")
 TASKS_PER_FILE = 8
 
 
-def place_of(spark: SparkSession, path: str) -> str:
-    """A listed path with scheme and authority and no last slash: ``file:/logs``, ``s3://bucket/logs``."""
-    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*://[^/]", path):
-        system, place = file_system(spark, path)
-        path = system.makeQualified(place).toString()
-    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", path).rstrip("/")
-
-
 def listed_places(spark: SparkSession, batches: Sequence[Batch]) -> list[tuple[int, str]]:
     """``(batch_id, place)`` of the caller's list; two batches must not claim one place."""
-    places = [(i, place_of(spark, b.path)) for i, b in enumerate(batches, start=1)]
-    if len({place for _, place in places}) < len(places):
-        raise ValueError("two batches list the same place")
-    return places
+    return distinct_places([(i, place_of(spark, b.path)) for i, b in enumerate(batches, start=1)])
 
 
-def with_batch_id(grouped: DataFrame, places: Sequence[tuple[int, str]]) -> DataFrame:
-    """Batch of each source file: that of the nearest listed place, the file itself or a folder above it.
+def with_source(grouped: DataFrame, places: Sequence[tuple[int, str]]) -> DataFrame:
+    """``batch_id`` and ``source_id`` in place of ``source_file``.
 
-    The batch comes from where the file lies, not from the order of arrival: micro-batches need not
-    follow it. Scheme and authority count, so two buckets are two places. There is one join for
-    each depth at which places are listed; Spark knows the size of the list and picks the join.
+    Scheme and authority count, so two buckets are two places.
     """
     # The file's path is URL-encoded, the listed ones are not; '+' stands for itself.
     decoded = F.url_decode(F.replace(F.col("source_file"), F.lit("+"), F.lit("%2B")))
-    placed = grouped.withColumn(
-        "file", F.regexp_replace(decoded, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
-    )
-    by_depth: dict[int, list[dict]] = {}
-    for batch_id, place in places:
-        depth = place.count("/") + 1
-        row = {f"place_{depth}": place, f"found_{depth}": batch_id}
-        by_depth.setdefault(depth, []).append(row)
-    depths = sorted(by_depth, reverse=True)
-    for depth in depths:
-        listed = grouped.sparkSession.createDataFrame(
-            pa.Table.from_pylist(by_depth[depth]), f"place_{depth} string, found_{depth} int"
-        )
-        placed = placed.withColumn(f"place_{depth}", F.substring_index("file", "/", depth)).join(
-            listed, f"place_{depth}", "left"
-        )
-    unlisted = F.raise_error(F.concat(F.lit("no batch lists "), F.col("file"))).cast("int")
-    used = [f"{name}_{depth}" for depth in depths for name in ("place", "found")]
-    return (
-        placed.withColumn("batch_id", F.coalesce(*[f"found_{d}" for d in depths], unlisted))
-        .withColumn("source_id", F.md5("file"))
-        .drop("file", "source_file", *used)
-    )
+    one_slash = F.regexp_replace(decoded, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    placed = with_batch_id(grouped.withColumn("file", one_slash), F.col("file"), places)
+    return placed.withColumn("source_id", F.md5("file")).drop("file", "source_file")
 
 
 def ingest_stream(
@@ -94,7 +60,7 @@ def ingest_stream(
 
     def write(micro_batch: DataFrame, _: int) -> None:
         grouped = rollup.partials(micro_batch, questions, keys=("source_file",))
-        rows = with_batch_id(grouped, places)
+        rows = with_source(grouped, places)
         replace_partitions(rows, target, *INGEST_KEYS, spread=TASKS_PER_FILE)
 
     return (

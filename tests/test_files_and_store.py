@@ -58,8 +58,9 @@ def test_line_ends_and_hidden_files(spark, tmp_path):
     assert logs.read_lines(spark, f"{tmp_path}/in/*.log").count() == 5
 
 
+@pytest.mark.parametrize("broadcast_splits", [0, logs.BROADCAST_SPLITS])
 @pytest.mark.parametrize("split_bytes", ["1000000", "700"])
-def test_chunks_hold_consecutive_lines(spark, tmp_path, split_bytes):
+def test_chunks_hold_consecutive_lines(spark, tmp_path, split_bytes, broadcast_splits):
     """Membership, not only sizes, also when files span several input splits."""
     (tmp_path / "in").mkdir()
     expected = []
@@ -69,7 +70,9 @@ def test_chunks_hold_consecutive_lines(spark, tmp_path, split_bytes):
         expected += lines
     spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
     try:
-        chunks = logs.chunk_lines(spark, [f"{tmp_path}/in"], f"{tmp_path}/staging", 25)
+        chunks = logs.chunk_lines(spark, [f"{tmp_path}/in"], f"{tmp_path}/staging", 25, broadcast_splits)
+        plan = chunks._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (broadcast_splits > 0)
         found = chunks.orderBy("line_index").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

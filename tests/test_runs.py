@@ -9,7 +9,7 @@ from logquarry.plans import jobs
 from logquarry.sinks import files
 from logquarry.sinks import store as sink
 from logquarry.sources import logs, tables
-from logquarry.streaming.ingest import ingest_stream, listed_places, place_of, with_batch_id
+from logquarry.streaming.ingest import ingest_stream, listed_places, place_of, with_source
 
 LARGEST = 2**63 - 1
 LINE = '{host} - - [01/Jul/1995:03:00:00 -0400] "GET {path} HTTP/1.0" {status} {size}'
@@ -142,7 +142,7 @@ def test_places_keep_scheme_and_bucket(spark, tmp_path):
     assert places == [(1, "s3://bucket-a/logs"), (2, "s3://bucket-b/logs")]
     names = ["s3://bucket-a/logs/x.log", "s3://bucket-b/logs/x.log", "s3://bucket-b/logs/deep/y.log"]
     df = spark.createDataFrame([(n,) for n in names], "source_file string")
-    found = with_batch_id(df, places).collect()
+    found = with_source(df, places).collect()
     assert sorted(r.batch_id for r in found) == [1, 2, 2]
     assert len({r.source_id for r in found}) == 3
     with pytest.raises(ValueError):
@@ -158,3 +158,39 @@ def test_nested_files_go_to_the_nearest_place(spark, tmp_path):
     ingest_stream(spark, root, listed, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
     stored = jobs.read_partials(spark, f"{tmp_path}/t")
     assert {r.batch_id: r.total_lines for r in rollup.quality_of(stored).collect()} == {1: 3, 2: 4}
+
+
+def test_one_reader_tells_batches_by_their_place(spark, tmp_path):
+    for folder, count in (("year", 1), ("year/june ä+b%/deep", 2), ("year/july/deep/er", 4)):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / "a.log").write_text("\n".join([line()] * count) + "\n")
+    root = f"{tmp_path}/year"
+    listed = [
+        logs.Batch(root, "rest"),
+        logs.Batch(f"{root}/july/", "July"),
+        logs.Batch(f"file://{root}/june ä+b%/deep/*.log", "June"),
+    ]
+    counts = lambda df: {r.batch_label: r["count"] for r in df.groupBy("batch_label").count().collect()}
+    assert counts(logs.read_batches(spark, listed, recursive=True)) == {"rest": 1, "June": 2, "July": 4}
+    assert counts(logs.read_batches(spark, listed, recursive=True, only=1)) == {"rest": 1}
+    flat = [logs.Batch(root, "rest"), logs.Batch(f"{root}/a.log", "file")]
+    assert counts(logs.read_batches(spark, flat)) == {"file": 1}
+    with pytest.raises(ValueError):
+        logs.read_batches(spark, [listed[0], logs.Batch(f"{root}/", "again")])
+    with pytest.raises(FileNotFoundError):
+        logs.read_batches(spark, [logs.Batch(f"{root}/*.gz", "none")])
+    run = jobs.run_q1(spark, f"{tmp_path}/store", listed, recursive=True, per_batch=True)
+    sizes = tables.read_store(spark, f"{tmp_path}/store", "batch_metadata").filter("stage = 'batch'")
+    assert {r.batch_label: r.batch_size for r in sizes.filter(f"run_id = {run}").collect()} == {
+        "rest": 1, "June": 2, "July": 4
+    }
+
+
+def test_many_batches_are_planned_fast(spark, tmp_path):
+    for i in range(400):
+        (tmp_path / f"b{i}").mkdir()
+        (tmp_path / f"b{i}" / "a.log").write_text("x\n")
+    listed = [logs.Batch(f"{tmp_path}/b{i}", str(i)) for i in range(400)]
+    df = logs.read_batches(spark, listed)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
