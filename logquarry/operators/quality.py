@@ -38,19 +38,23 @@ def with_average_size(quality: DataFrame) -> DataFrame:
 def parity_audit(lines: DataFrame) -> DataFrame:
     """Malformed and kept lines under every definition of a well-formed line,
     counted in one pass. Only ``lenient`` trims lines and skips blank ones."""
-    trimmed = clf.trim_edges(F.col("line"))
+    tried = lines.withColumn("trimmed", clf.trim_edges(F.col("line")))
+    considered = {n: (F.col("trimmed") != "") if n == "lenient" else F.lit(True) for n in P.READ_SHAPES}
+    fits = [
+        (considered[n] & F.rlike(F.col("trimmed" if n == "lenient" else "line"), F.lit(pattern))).alias(n)
+        for n, (pattern, _) in P.READ_SHAPES.items()
+    ]
+    marked = clf.evaluate_once(tried, "fits", F.struct(*fits))
     counts = []
-    for name, (pattern, _) in P.READ_SHAPES.items():
-        text = trimmed if name == "lenient" else F.col("line")
-        fits = F.rlike(text, F.lit(pattern))
-        considered = (trimmed != "") if name == "lenient" else F.lit(True)
+    for name in P.READ_SHAPES:
+        fit = F.col(f"fits.{name}")
         counts += [
-            F.count_if(considered & ~fits).alias(f"{name}_malformed"),
-            F.count_if(considered & fits).alias(f"{name}_kept"),
+            F.count_if(considered[name] & ~fit).alias(f"{name}_malformed"),
+            F.count_if(fit).alias(f"{name}_kept"),
         ]
     rows = ", ".join(f"'{n}', {n}_malformed, {n}_kept" for n in P.READ_SHAPES)
     return (
-        lines.groupBy("batch_id")
+        marked.groupBy("batch_id")
         .agg(*counts)
         .selectExpr(
             "batch_id",

@@ -22,7 +22,7 @@ from logquarry.sinks.files import (
     replace_partitions,
     write_quarantine,
 )
-from logquarry.sources.logs import Batch, batch_table, read_batches
+from logquarry.sources.logs import Batch, batch_lines, batch_table
 
 QUESTIONS = ("Q1", "Q2", "Q3")
 PARTIAL_KEYS = ("part", "batch_id")
@@ -75,18 +75,14 @@ def run_questions(
     chunked = isinstance(batches, DataFrame)
     if chunked and per_batch:
         raise ValueError("rows with a batch id run together")
-    lines = (
-        batches.select("batch_id", "line")
-        if chunked
-        else read_batches(spark, batches, recursive).drop("batch_label")
-    )
+    lines = batches.select("batch_id", "line") if chunked else batch_lines(spark, batches, recursive)
     if quarantine:
         write_quarantine(lines, quarantine)
     runtimes = []
     if per_batch:
         for i in range(1, len(batches) + 1):
             start = _now_ms()
-            one = read_batches(spark, batches, recursive, only=i).drop("batch_label")
+            one = batch_lines(spark, batches, recursive, only=i)
             write_partials(one, partials_path, questions)
             elapsed = _now_ms() - start
             runtimes.append({"batch_id": i, "stage": "batch", "runtime_ms": elapsed})

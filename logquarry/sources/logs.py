@@ -56,13 +56,13 @@ def batch_table(spark: SparkSession, batches: Sequence[Batch]) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_pylist(rows), schemas.BATCHES)
 
 
-def read_batches(
+def batch_lines(
     spark: SparkSession,
     batches: Sequence[Batch],
     recursive: bool = False,
     only: int | None = None,
 ) -> DataFrame:
-    """``batch_id, batch_label, line`` over all batches, or that numbered ``only``.
+    """``batch_id, line`` over all batches, or that numbered ``only``.
 
     One reader covers all of them, and the batch of a line comes from its file's path: that of the
     nearest listed place. Paths may be patterns; ``recursive`` descends into folders.
@@ -84,8 +84,14 @@ def read_batches(
     placed = with_batch_id(rows, F.col("source_file"), places)
     if only is not None:
         placed = placed.filter(F.col("batch_id") == only)
+    return placed.select("batch_id", "line")
+
+
+def read_batches(spark: SparkSession, batches: Sequence[Batch], **options) -> DataFrame:
+    """``batch_id, batch_label, line`` over all batches; options as for :func:`batch_lines`."""
     labels = batch_table(spark, batches).drop("path")
-    return placed.join(labels, "batch_id").select("batch_id", "batch_label", "line")
+    lines = batch_lines(spark, batches, **options)
+    return lines.join(labels, "batch_id").select("batch_id", "batch_label", "line")
 
 
 def _read_with(place: str, asked: Container[str], recursive: bool) -> bool:
