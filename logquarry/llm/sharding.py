@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHARDS = 40
 BUCKET_BYTES = 128 << 20
 BUCKETS_PER_TASK = 8
+# What a row takes in memory besides its ``size``.
+ROW_BYTES = 64
 # So many rows of (bucket, offset), about 24 MB, are broadcast; beyond it Spark picks the join.
 BROADCAST_BUCKETS = 1_000_000
 SEED = 7
@@ -25,6 +30,13 @@ def shard_of(key: Column, shards: int, seed: int = SEED) -> Column:
     return F.array_max(tries)["s"]
 
 
+def bucket_counts(sharded: DataFrame, size: str, shards: int, bucket_bytes: int) -> list[int]:
+    """How many buckets each shard has, from its own rows; the driver sees a number a shard."""
+    weight = F.sum(F.coalesce(F.col(size), F.lit(0)).cast("double") + ROW_BYTES).alias("weight")
+    weights = {r["shard"]: r["weight"] for r in sharded.groupBy("shard").agg(weight).collect()}
+    return [max(1, math.ceil(weights.get(i, 0) / bucket_bytes)) for i in range(shards)]
+
+
 def shuffled_shards(
     rows: DataFrame,
     key: str = "doc_id",
@@ -35,8 +47,9 @@ def shuffled_shards(
 ) -> DataFrame:
     """``rows`` with ``shard`` (from ``key``), and ``slot``, their place in it, gapless from 0.
 
-    Pass one scatters the rows of a shard over buckets by a seeded hash of the whole row; buckets
-    are as many as keep each near ``bucket_bytes`` of the ``size`` column. Pass two holds one
+    Pass one scatters the rows of a shard over buckets by a seeded hash of the whole row; a shard has
+    as many as keep each near ``bucket_bytes`` of the ``size`` column and ``ROW_BYTES`` a row, so
+    that a key with very many rows has more buckets and not larger ones. Pass two holds one
     bucket at a time and shuffles it (Spark's ``shuffle`` is a Fisher-Yates shuffle), after
     sorting it by that hash, so that the order does not depend on how rows arrived.
 
@@ -44,13 +57,16 @@ def shuffled_shards(
     name but ``shard`` and ``slot``, which are replaced. An empty table gives no rows.
     """
     rows = rows.drop("shard", "slot")
-    total = rows.agg(F.sum(F.col(size).cast("double"))).first()[0] or 0
-    per_shard = max(1, int(-(-total // (shards * bucket_bytes))))
+    shard = shard_of(F.col(key), shards, seed)
+    counts = bucket_counts(rows.withColumn("shard", shard), size, shards, bucket_bytes)
+    firsts = [0, *accumulate(counts)]
+    buckets = firsts.pop()
+    of_shard = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("shard"))
     record = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rows.columns)])
     mixed = F.xxhash64(F.to_json(record), F.lit(seed)) if _has_map(rows) else F.xxhash64(record, F.lit(seed))
-    scattered = rows.select(
-        shard_of(F.col(key), shards, seed).alias("shard"), mixed.alias("mixed"), record.alias("record")
-    ).withColumn("bucket", F.col("shard") * per_shard + F.pmod("mixed", F.lit(per_shard)).cast("int"))
+    scattered = rows.select(shard.alias("shard"), mixed.alias("mixed"), record.alias("record")).withColumn(
+        "bucket", of_shard(firsts) + F.pmod("mixed", of_shard(counts)).cast("int")
+    )
 
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -58,11 +74,11 @@ def shuffled_shards(
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     )
-    if shards * per_shard <= BROADCAST_BUCKETS:
+    if buckets <= BROADCAST_BUCKETS:
         offsets = F.broadcast(offsets)
     tasks = max(
         int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        shards * per_shard // BUCKETS_PER_TASK,
+        buckets // BUCKETS_PER_TASK,
     )
     by_hash = lambda a, b: (
         F.when(a["mixed"] < b["mixed"], -1).when(a["mixed"] > b["mixed"], 1).otherwise(0)

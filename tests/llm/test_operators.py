@@ -137,6 +137,21 @@ def test_filter_holds_every_key():
             assert exact_dedup.accepts(rng.integers(0, 1 << 63, 10_000, dtype=np.uint64), *made).mean() < 0.02
 
 
+def test_a_hot_key_has_more_buckets(spark):
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit(36).alias("size"), F.col("id").alias("n")
+    )
+    sharded = rows.withColumn("shard", sharding.shard_of(F.col("doc_id"), 10))
+    hot = sharded.filter("doc_id is null").first()["shard"]
+    counts = sharding.bucket_counts(sharded, "size", 10, 1_000)
+    assert counts[hot] >= 30 and max(c for i, c in enumerate(counts) if i != hot) < 15
+    found = sharding.shuffled_shards(rows, shards=10, bucket_bytes=1_000).collect()
+    assert sorted(r.n for r in found) == list(range(900))
+    for s in range(10):
+        mine = sorted(r.slot for r in found if r.shard == s)
+        assert mine == list(range(len(mine)))
+
+
 def test_shards_obey_their_law(spark):
     rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(100).alias("size"))
     found = sharding.shuffled_shards(rows, shards=10, bucket_bytes=5_000).withColumn(
