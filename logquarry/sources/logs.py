@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logquarry import schemas
 from logquarry.functions.patterns import CHUNK_LINES
-from logquarry.sources.places import distinct_places, listed_files, with_batch_id
+from logquarry.sources.places import distinct_places, file_system, listed_files, with_batch_id
 
 # Up to this many input splits (40 bytes each, 500 TB of logs at the default split size) their
 # offsets are broadcast; beyond it Spark picks the join.
@@ -74,8 +74,8 @@ def batch_lines(
     ]
     places = distinct_places([(i, place) for i, _, place in listed])
     asked = {place: path for i, path, place in listed if only in (None, i)}
-    # What lies in another listed folder comes with that one.
-    paths = [path for place, path in asked.items() if not _read_with(place, asked, recursive)]
+    # What a reader of another listed folder reads comes with that one.
+    paths = [path for place, path in asked.items() if not _read_with(spark, place, asked, recursive)]
     rows = (
         spark.read.option("recursiveFileLookup", recursive)
         .text(paths)
@@ -94,18 +94,26 @@ def read_batches(spark: SparkSession, batches: Sequence[Batch], **options) -> Da
     return lines.join(labels, "batch_id").select("batch_id", "batch_label", "line")
 
 
-def _read_with(place: str, asked: Container[str], recursive: bool) -> bool:
-    """Whether a reader of another of the ``asked`` places reads this one too."""
+def _read_with(spark: SparkSession, place: str, asked: Container[str], recursive: bool) -> bool:
+    """Whether a reader of another of the ``asked`` places reads this one too.
+
+    One that does not descend reads the files of its folder, and none of the folders in it.
+    """
     above = place.rsplit("/", 1)[0]
+    if not recursive:
+        return above in asked and _is_file(spark, place)
     while "/" in above:
         if above in asked:
             return True
-        if not recursive:
-            return False
         above = above.rsplit("/", 1)[0]
     return False
 
 
+def _is_file(spark: SparkSession, place: str) -> bool:
+    system, found = file_system(spark, place)
+    return system.getFileStatus(found).isFile()
+
+
 def chunk_lines(
     spark: SparkSession,
     paths: Sequence[str],

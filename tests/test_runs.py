@@ -194,3 +194,17 @@ def test_many_batches_are_planned_fast(spark, tmp_path):
     df = logs.read_batches(spark, listed)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Union" not in plan
+
+
+def test_a_folder_and_one_in_it_are_two_batches(spark, tmp_path):
+    (tmp_path / "logs/august").mkdir(parents=True)
+    (tmp_path / "logs/july.log").write_text(line() + "\n")
+    (tmp_path / "logs/august/a.log").write_text("\n".join([line()] * 2) + "\n")
+    listed = [logs.Batch(f"{tmp_path}/logs", "July"), logs.Batch(f"{tmp_path}/logs/august", "August")]
+    found = {r.batch_label: r["count"] for r in logs.read_batches(spark, listed).groupBy("batch_label").count().collect()}
+    assert found == {"July": 1, "August": 2}
+    for per_batch in (False, True):
+        store = f"{tmp_path}/store-{per_batch}"
+        run = jobs.run_q1(spark, store, listed, per_batch=per_batch)
+        sizes = tables.read_store(spark, store, "batch_metadata").filter(f"run_id = {run}")
+        assert sizes.filter("stage = 'batch'" if per_batch else "true").agg(F.sum("batch_size")).first()[0] == 3
