@@ -20,6 +20,7 @@ from logquarry.llm import (
     toxicity,
 )
 from logquarry.llm.common import held_out, text_of
+from logquarry.plans.workspace import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,16 +74,16 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
-        F.crc32(text_of().cast("binary")).alias("text_crc32"),
-    )
+    """Whole documents are dealt, written, and read back from their shards."""
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long")
+    sharded = sharding.shuffled_shards(table(spark, sf_dir, "documents").withColumn("size", size))
+    path = shared_folder(spark, "shards")
+    sharding.write_shards(sharded, path)
     key = F.col("doc_id")
-    return sharding.shuffled_shards(rows).select(
+    return spark.read.schema(sharded.schema).parquet(path).select(
         "doc_id",
-        "size",
-        "text_crc32",
+        size.alias("size"),
+        F.crc32(text_of().cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"),
         "shard",
         "slot",

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHARDS = 40
-BUCKET_BYTES = 128 << 20
+# Held several times over in a task: as rows collected, sorted and shuffled.
+BUCKET_BYTES = 16 << 20
 BUCKETS_PER_TASK = 8
 # What a row takes in memory besides its ``size``.
 ROW_BYTES = 64
