@@ -1,8 +1,58 @@
 """The operators on whole documents, against plain versions."""
 
+import random
 from collections import Counter
 
-from logquarry.llm import queries, sharding
+import corpus_pipeline
+from logquarry.llm import queries, sharding, similar
+
+
+def edited_copies():
+    """Texts of 40 to 400 words, each with copies of which more and more words are changed."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randint(0, 50_000)}"
+    texts = ["", " \n", "one two", "One  two", "one three"]
+    for n in (40, 100, 200, 400):
+        for _ in range(8):
+            base = [word() for _ in range(n)]
+            texts.append(" ".join(base))
+            for share in (0.005, 0.01, 0.015, 0.02, 0.03, 0.05):
+                changed = base.copy()
+                for i in rng.sample(range(n), max(1, round(n * share))):
+                    changed[i] = word()
+                texts.append(" ".join(changed))
+    common = [word() for _ in range(60)]
+    texts += [" ".join(common + [word() for _ in range(60)]) for _ in range(40)]
+    return dict(enumerate(texts))
+
+
+def shingle_set(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def test_near_copies_against_all_pairs(spark):
+    texts = edited_copies()
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    least = {i: i for i in texts}
+    pairs = [(a, b) for a in texts for b in texts if a < b and jaccard(sets[a], sets[b]) >= 0.8]
+    assert len(pairs) > 150
+    for _ in texts:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = similar.near_duplicates(docs).collect()
+    assert {r.doc_id: r.component_id for r in found} == least
+    assert {r.doc_id for r in found if r.stays} == set(least.values())
+    sizes = Counter(least.values())
+    assert all(r.component_size == sizes[r.component_id] for r in found)
+    left = corpus_pipeline.dedup_near(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in left) == sorted(set(least.values()))
+    assert similar.near_duplicates(docs.limit(0)).count() == 0
 
 
 def test_sharding_moves_whole_documents(spark, sf_dir, monkeypatch):
