@@ -281,22 +281,27 @@ def pack(
     and ``ids`` (little-endian unsigned 32-bit) where asked for. A document's tokens end with
     ``end_id``. Longer ones are cut into full windows and a rest. Pieces are dealt evenly to groups
     of about ``pieces_per_group``, and each group is packed by best-fit decreasing, so no task holds more.
+    A group holds lengths only; ids meet their places afterwards, in a join by the piece's number.
 
     Null or empty text is the end id alone. Ties go by id and start; rows that repeat an id are
     packed each for itself. An empty table gives no rows; further columns are ignored.
     """
     schema = _PIECES + (", ids binary" if with_ids else "")
-    pieces = stage(
-        docs.select(F.col("doc_id").cast("long"), text_of().cast("binary").alias("text")).mapInArrow(
-            _tokenised(tokenizer_path, window, end_id, with_ids), schema
-        ),
-        "pieces",
+    pieces = docs.select(F.col("doc_id").cast("long"), text_of().cast("binary").alias("text")).mapInArrow(
+        _tokenised(tokenizer_path, window, end_id, with_ids), schema
     )
+    if with_ids:
+        pieces = pieces.withColumn("piece", F.monotonically_increasing_id())
+    pieces = stage(pieces, "pieces")
     groups = max(1, -(-pieces.count() // pieces_per_group))
     # Dealt by row and not by id, as one id may repeat without end.
-    dealt = pieces.withColumn(
-        "pack_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
-    )
-    return dealt.groupBy("pack_group").applyInArrow(
-        _packed(window), schema + ", sequence_id long, offset long"
+    number = F.col("piece") if with_ids else F.monotonically_increasing_id()
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64(number), F.lit(groups)))
+    placed = dealt.drop("ids").groupBy("pack_group").applyInArrow(
+        _packed(window), _PIECES + (", piece long" if with_ids else "") + ", sequence_id long, offset long"
     )
+    if not with_ids:
+        return placed
+    places = stage(placed.select("piece", "sequence_id", "offset"), "places")
+    columns = [f.split()[0] for f in schema.split(", ")]
+    return pieces.join(places.hint("merge"), "piece").select(*columns, "sequence_id", "offset")

@@ -4,7 +4,9 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 from logquarry.llm import queries, sharding, similar
+from tokenizers import Tokenizer
 
 
 def edited_copies():
@@ -65,3 +67,21 @@ def test_sharding_moves_whole_documents(spark, sf_dir, monkeypatch):
     assert Counter(map(tuple, back.select(*docs.columns).collect())) == Counter(map(tuple, docs.collect()))
     places = {(r.doc_id, r.shard, r.slot) for r in back.collect()}
     assert {(r.doc_id, r.shard, r.slot) for r in rows} == places and len(rows) == docs.count()
+
+
+def test_packed_windows_hold_the_tokens_of_all_copies(spark):
+    texts = [(1, "some words here"), (1, "some words here"), (2, None), (3, "longer " * 5000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    plain = Tokenizer.from_file(queries.tokenizer_path())
+    wanted, sequences, found = Counter(), {}, Counter()
+    for _, text in texts:
+        ids = [*plain.encode(text or "", add_special_tokens=False).ids, 2]
+        wanted.update(tuple(ids[i : i + 4096]) for i in range(0, len(ids), 4096))
+    for r in corpus_pipeline.pack_windows(spark, docs, "").collect():
+        ids = tuple(np.frombuffer(r.ids, "<u4").tolist())
+        found[ids] += 1
+        assert len(ids) == r.length
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert found == wanted
+    for rows in sequences.values():
+        assert [o for o, _ in sorted(rows)] == [0, *np.cumsum([n for _, n in sorted(rows)]).tolist()][:-1]
