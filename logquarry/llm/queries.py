@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from logquarry.llm import (
     chat,
+    checks,
     exact_dedup,
     langid,
     mixing,
     packing,
+    repair,
     sharding,
     simhash,
     substring,
@@ -125,7 +127,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 ORACLE_SQL = {
+    "op11_repair": checks.REPAIR,
     "op1_topk": """
         with vectors as (
           select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
