@@ -98,3 +98,40 @@ REPAIR = f"""
     left join counts c on g.conv_id is not distinct from c.conv_id
     left join best b on g.conv_id is not distinct from b.conv_id and b.i = 1
 """
+
+SPELLING = f"""
+    with recursive {_CRC_TABLE},
+    runs as (
+      select doc_id, word, count(*) as times
+      from (select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as word from documents)
+      where length(word) >= 5 group by doc_id, word),
+    summed as (
+      select *, {_crc32('named')} as h
+      from (select *, coalesce(cast(doc_id as varchar), '') || ':' || word as named from runs), crc_table),
+    slipped as (
+      select case when h % 97 = 0
+                  then word[1 : cast(h % length(word) as int)] || word[cast(h % length(word) as int) + 2 :]
+                  else word end as word, times from summed),
+    words as (
+      select word, cast(sum(times) as bigint) as n from slipped where length(word) >= 5 group by word having sum(times) >= 3),
+    less as (
+      select word, n, i, word[1 : i - 1] || word[i + 1 :] as rest
+      from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+    near as (
+      select a.word, b.word as other, b.n as other_n from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+      union select a.rest, a.word, a.n from less a
+      union select a.word, b.word, b.n from less a join words b on a.rest = b.word),
+    ranked as (
+      select w.word, w.n, other, other_n, count(other) over (partition by w.word) as n_near,
+             row_number() over (partition by w.word order by other_n desc nulls last, encode(other)) as place
+      from words w left join near using (word)),
+    formed as (
+      select word, n, n_near, case when other_n >= 2 * n then other end as form, case when other_n >= 2 * n then other_n end as form_n
+      from ranked where place = 1),
+    followed as (
+      select word, word as root, form as next from formed
+      union all
+      select f.word, f.next, g.form from followed f join formed g on f.next = g.word)
+    select word, form, root, n, n_near, form_n from formed join (select word, root from followed where next is null) using (word)
+"""

@@ -15,8 +15,10 @@ from logquarry.llm import (
     mixing,
     packing,
     repair,
+    secret_scan,
     sharding,
     simhash,
+    spelling,
     substring,
     topk,
     toxicity,
@@ -132,7 +134,26 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.find_secrets(docs, secret_scan.fit(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(i).alias(f"n_{name}") for i, name in enumerate(secret_scan.KINDS[:3])],
+        F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.concat("base", "added")).alias("spans"),
+    )
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL = {
+    "op13_spelling": checks.SPELLING,
     "op11_repair": checks.REPAIR,
     "op1_topk": """
         with vectors as (

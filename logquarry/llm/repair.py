@@ -151,15 +151,12 @@ def damaged(turns: DataFrame) -> DataFrame:
 
 
 def _code() -> Column:
+    """The code of a row, duplicates not told yet."""
     solid = F.rtrim("text", F.lit(SPACE))
     initial = F.substring("role", 1, 1)
     kind = F.when(initial == "s", 0).when(initial == "u", 1).when(initial == "a", 2).otherwise(3)
-    return (
-        F.when(F.col("dropped"), DROPPED)
-        .when(solid == "", BLANK)
-        .when(F.col("repeats"), DUPLICATE)
-        .otherwise(kind + F.when(F.right(solid, F.lit(1)).isin(".", "!", "?"), 0).otherwise(4))
-    ).cast("int")
+    cut_off = F.when(F.right(solid, F.lit(1)).isin(".", "!", "?"), 0).otherwise(4)
+    return F.when(F.col("dropped"), DROPPED).when(solid == "", BLANK).otherwise(kind + cut_off).cast("int")
 
 
 def placed(rows: DataFrame) -> DataFrame:
@@ -167,30 +164,33 @@ def placed(rows: DataFrame) -> DataFrame:
 
     Range partitions cut also a conversation that holds a large share of all rows.
     """
-    rows = rows.withColumn("text_sign", F.sha2("text", 256))
-    first = (
-        rows.filter("not dropped")
-        .groupBy("conv_id", "role", "text_sign")
-        .agg(F.min(F.struct(F.col("turn").isNotNull().alias("known"), "turn")).alias("first"), F.count(F.lit(1)).alias("rows"))
-        .filter("rows > 1")
-        .select(F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("text_sign").alias("s"), "first")
-    )
-    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("role") == F.col("r")) & (F.col("text_sign") == F.col("s"))
-    coded = (
-        rows.join(first, same, "left")
-        .withColumn("repeats", F.col("first").isNotNull() & ~F.col("turn").eqNullSafe(F.col("first.turn")))
-        .select("conv_id", "turn", "role", "text", "n", _code().alias("code"))
-    )
     keys = ["conv_id", F.col("turn").asc_nulls_first(), "role"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return stage(
-        coded.repartitionByRange(parts, *keys, F.left("text", F.lit(100)))
+        rows.repartitionByRange(parts, *keys, F.left("text", F.lit(100)))
         .sortWithinPartitions(*keys, "text")
-        .withColumn("place", F.monotonically_increasing_id()),
+        .select("conv_id", "turn", "role", "text", "n", _code().alias("code"), F.sha2("text", 256).alias("sign"),
+                F.monotonically_increasing_id().alias("place")),
         "turns",
     )
 
 
+def coded(turns: DataFrame) -> DataFrame:
+    """``conv_id, place, code`` of :func:`placed` rows, where all but the first of equal ones are duplicates."""
+    solid = turns.filter(F.col("code") < BLANK)
+    first = (
+        solid.groupBy("conv_id", "role", "sign")
+        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1")
+        .select(F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("sign").alias("s"), "first")
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("role") == F.col("r")) & (F.col("sign") == F.col("s"))
+    later = (F.col("code") < BLANK) & (F.col("place") > F.col("first"))
+    return turns.select("conv_id", "place", "role", "sign", "code").join(first, same, "left").select(
+        "conv_id", "place", F.when(later, DUPLICATE).otherwise(F.col("code")).alias("code")
+    )
+
+
 # --- chunks ----------------------------------------------------------------------------
 _VECTOR = "array<int>"
 
@@ -294,7 +294,7 @@ def _leaves(costs: Costs, codes: list[int], after: list[int]) -> list[int]:
 
 
 def _chunks(turns: DataFrame, chunk_rows: int, fixups: int) -> DataFrame:
-    """``conv_id, chunk, codes, after, enters`` of every chunk."""
+    """``conv_id, chunk, codes, after, enters`` of every chunk of :func:`coded` rows."""
     chunks = stage(
         turns.groupBy("conv_id", F.expr(f"place div {chunk_rows}").alias("chunk"))
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "code"))), lambda x: x["code"]).alias("codes")),
@@ -400,10 +400,10 @@ def _repair_rows(kind: pa.DataType):
         )
 
     def run(batches):
-        costs, own, at, decided = Costs(), None, None, iter(())
+        costs, own, at, decided, codes_here = Costs(), None, None, iter(()), iter(())
         for batch in batches:
             done = []
-            for conv, turn, role, text, n, code, codes, after, enters in zip(
+            for conv, turn, role, text, n, codes, after, enters in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
             ):
                 if own != (conv,):
@@ -411,9 +411,9 @@ def _repair_rows(kind: pa.DataType):
                         done.append((own[0], *at.result()))
                     own, at = (conv,), _Repaired()
                 if codes is not None:
-                    decided = iter(costs.traced(codes, tuple(after)))
+                    decided, codes_here = iter(costs.traced(codes, tuple(after))), iter(codes)
                     at.state = enters
-                elif code != DROPPED:
+                elif (code := next(codes_here)) != DROPPED:
                     at.row(turn, role, text, n, code, next(decided) if code < BLANK else None)
             yield batch_of(done)
         if own is not None:
@@ -435,15 +435,14 @@ def repair(turns: DataFrame, chunk_rows: int = CHUNK_ROWS, fixups: int = FIXUPS)
     them in order, but are not held there.
     """
     parts = placed(damaged(turns.select("conv_id", "turn", "role", "text")))
-    heads = _chunks(parts.select("conv_id", "place", "code"), chunk_rows, fixups)
-    rows = parts.withColumns({"chunk": F.expr(f"place div {chunk_rows}")})
-    heads = heads.withColumns({"place": F.lit(-1).cast("long"), "n": F.lit(0).cast("long"), "code": F.lit(DROPPED)})
+    heads = _chunks(coded(parts), chunk_rows, fixups).withColumn("place", F.lit(-1).cast("long"))
+    rows = parts.drop("code", "sign").withColumn("chunk", F.expr(f"place div {chunk_rows}"))
     both = rows.unionByName(heads, allowMissingColumns=True)
     in_order = both.repartition("conv_id").sortWithinPartitions("conv_id", "chunk", "place")
     field = turns.schema["conv_id"].dataType.simpleString()
     return in_order.select(
         "conv_id", F.col("turn").cast("long"), F.col("role").cast("binary"), F.col("text").cast("binary"),
-        "n", "code", "codes", "after", "enters",
+        "n", "codes", "after", "enters",
     ).mapInArrow(
         _repair_rows(to_arrow_type(turns.schema["conv_id"].dataType)),
         f"conv_id {field}, gaps long, blank long, duplicate long, truncated long, illegal long, cost long,"
