@@ -7,10 +7,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import groups_of, held_out, text_of
+from logquarry.llm.common import groups_of, held_out, stage, text_of
 
 UNKNOWN = "und"
 WIDTHS = (2, 3, 4)
@@ -19,6 +19,8 @@ WINDOW = 512
 # The network is fitted on this many labelled documents at most, those of least hash, and on
 # this many windows of each.
 TRAIN_DOCUMENTS = 4_000
+# Of each language this many are taken before others fill the rest.
+TRAIN_EACH = 200
 TRAIN_WINDOWS = 2
 EPOCHS = 6
 BATCH = 64
@@ -185,8 +187,9 @@ def _scored(net: Network):
             kept += [
                 pa.array([a if ok else UNKNOWN for a, ok in zip(langs, sound, strict=True)], pa.string()),
                 pa.array([p if ok else 1.0 for p, ok in zip(probs, sound, strict=True)], pa.float64()),
+                pa.array([not ok for ok in sound], pa.bool_()),
             ]
-            yield pa.RecordBatch.from_arrays(kept, [*batch.schema.names[:-2], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(kept, [*batch.schema.names[:-2], "lang_pred", "score", "rejected"])
 
     return run
 
@@ -196,21 +199,34 @@ def folded() -> Column:
     return F.lower(text_of()).cast("binary")
 
 
-def fit(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS) -> Network | None:
-    """A network from rows of ``doc_id, text, lang``: the ``documents`` of least hash."""
-    wanted = (
+def fit(labelled: DataFrame, documents: int = TRAIN_DOCUMENTS, each: int = TRAIN_EACH) -> Network | None:
+    """A network from rows of ``doc_id, text, lang``: the ``documents`` of least hash, those first that are
+    among the ``each`` first of their language. Rows alike in id, language and text are one, and an id
+    gives one text to a language, so that one repeated without end takes one place.
+    """
+    drawn = (
         labelled.filter("lang is not null")
-        .select("doc_id", F.xxhash64("doc_id").alias("h"))
-        .distinct()
-        .orderBy("h", "doc_id")
-        .limit(documents)
+        .select("doc_id", "lang", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("text_hash"))
+        .groupBy("doc_id", "lang", "h")
+        .agg(F.min("text_hash").alias("text_hash"))
+    )
+    # Spark keeps the first of each language in every task before rows are shuffled.
+    by_lang = drawn.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
+    first = stage(by_lang.filter(F.col("place") <= each).select("h", "doc_id", "lang", "text_hash"), "first-of-lang")
+    others = drawn.select("h", "doc_id", "lang", "text_hash").orderBy("h", "doc_id", "lang").limit(documents)
+    least = F.when(F.col("early"), 0).otherwise(1)
+    wanted = stage(
+        first.withColumn("early", F.lit(True)).unionByName(others.withColumn("early", F.lit(False)))
+        .groupBy("h", "doc_id", "lang", "text_hash").agg(F.max("early").alias("early"))
+        .orderBy(least, "h", "doc_id", "lang").limit(documents).select("h", "doc_id", "lang", "text_hash"),
+        "wanted",
     )
-    # An id may repeat without end, so the rows are bounded as the ids are.
     rows = (
-        labelled.join(F.broadcast(wanted), "doc_id")
+        labelled.withColumn("text_hash", F.xxhash64("text"))
+        .join(F.broadcast(wanted), ["doc_id", "lang", "text_hash"])
         .select("h", "doc_id", "lang", folded().alias("text"))
-        .filter("lang is not null")
         .mapInArrow(_training_text, "h long, doc_id long, lang string, text binary")
+        .distinct()
         .orderBy("h", "doc_id", "lang", "text")
         .limit(documents)
         .collect()
@@ -233,22 +249,24 @@ def _training_text(batches):
 
 
 def identify(docs: DataFrame, net: Network | None, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns, ``lang_pred`` and ``score`` of every row of ``doc_id, text``.
+    """The ``keep`` columns, ``lang_pred``, ``score`` and ``rejected`` of every row of ``doc_id, text``.
 
     The whole text is scored, in windows of ``WINDOW`` bytes. Text that is null or has no letter is
-    ``und`` with score 1; without a network all is ``und``, others with score 0. Repeated rows are
+    ``und`` with score 1, and it alone is ``rejected``: no text with letters is, however low its score,
+    as clean documents must stay. Without a network all is ``und``, others with score 0. Repeated rows are
     scored each; an empty table gives no rows. Kept columns named as the results are replaced.
     """
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    kept = [c for c in keep if c not in ("lang_pred", "score")]
+    kept = [c for c in keep if c not in ("lang_pred", "score", "rejected")]
     rows = docs.select(*kept, folded().alias("folded_text"), lettered.alias("lettered"))
     if net is None:
         return rows.select(
             *kept,
             F.lit(UNKNOWN).alias("lang_pred"),
             F.when(F.col("lettered"), 0.0).otherwise(1.0).alias("score"),
+            (~F.col("lettered")).alias("rejected"),
         )
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return rows.mapInArrow(_scored(net), schema)
 
 

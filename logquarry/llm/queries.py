@@ -209,7 +209,8 @@ ORACLE_SQL = {
     """,
     "op3_mixing": """
         with sized as (
-          select doc_id, source, md5('mix:' || coalesce(cast(doc_id as varchar), '')) as key,
+          select doc_id, source,
+                 md5('mix:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as key,
                  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size
           from documents),
         sources as (
@@ -250,10 +251,10 @@ ORACLE_SQL = {
                                     rows unbounded preceding) as words
           from copies where size > 0),
         taken as (
-          select doc_id, key, count(*) as n from ordered
+          select doc_id, key, count(*) as n, min(words - size) as position from ordered
           where words <= (select sum(size) from sized) group by doc_id, key)
         select q.doc_id, q.size, cast(q.source_size as bigint) as source_size, q.target,
-               cast(q.size * coalesce(t.n, 0) as bigint) as taken
+               cast(q.size * coalesce(t.n, 0) as bigint) as taken, cast(t.position as bigint) as position
         from queued q left join taken t on q.key = t.key and q.size > 0
     """,
 }

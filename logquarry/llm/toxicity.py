@@ -207,11 +207,18 @@ def fit(docs: DataFrame, labels: DataFrame, documents: int = TRAIN_DOCUMENTS) ->
         "labelled",
     )
     # One of each group of near copies: a passage that was copied is no more evidence than one.
-    singles = labelled.groupBy("sign", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    # An id may repeat without end, so that rows are chosen, not ids, and no more of them than documents.
+    row = F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+    singles = (
+        labelled.groupBy("sign", "toxic").agg(F.min(row).alias("row"))
+        .select("sign", "toxic", "row.doc_id", "row.text_hash")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "sign").limit(documents)
+    )
     sample = stage(
-        labelled.join(F.broadcast(singles), "doc_id").withColumn(
-            "fold", F.pmod(F.xxhash64("sign"), F.lit(2)).cast("int")
-        ),
+        labelled.withColumn("text_hash", F.xxhash64("text"))
+        .join(F.broadcast(singles), ["sign", "toxic", "doc_id", "text_hash"])
+        .dropDuplicates(["sign", "toxic"])
+        .withColumn("fold", F.pmod(F.xxhash64("sign"), F.lit(2)).cast("int")),
         "sample",
     )
     sizes = {(r["fold"], r["toxic"]): float(r["count"]) for r in sample.groupBy("fold", "toxic").count().collect()}

@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-import corpus_pipeline
 from logquarry.llm import (
     chat,
     exact_dedup,
@@ -283,26 +282,3 @@ def test_held_out_accuracy(spark):
     found = queries.QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.1").filter("held_out").join(labels, "doc_id").collect()
     right = sum(r.predicted and r.toxic for r in found)
     assert right > 0.9 * sum(r.toxic for r in found) and right > 0.75 * sum(r.predicted for r in found)
-
-
-def test_pipeline(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns = docs.columns
-    more = spark.createDataFrame([(10**6, "12 34", None, None, 5), (10**6 + 1, None, None, None, 0)], docs.schema)
-    at = docs.unionByName(more)
-    seen = []
-    for _, made in corpus_pipeline.STAGES[:-1]:
-        after = made(spark, at, sf_dir).cache()
-        assert after.columns == columns
-        seen.append({(r.doc_id, r.text) for r in after.collect()})
-        at = after
-    every = {(r.doc_id, r.text) for r in docs.collect()}
-    assert seen[0] == every
-    latest = {}
-    for doc_id, text in every:
-        latest[text] = max(doc_id, latest.get(text, -1))
-    assert seen[1] == {(i, t) for t, i in latest.items()}
-    prints = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(list(seen[1]), "doc_id long, text string")).collect()}
-    assert {i for i, _ in seen[2]} == set(prints.values())
-    assert seen[3] <= seen[2]
-    assert corpus_pipeline.run(spark, sf_dir).count() > 0
