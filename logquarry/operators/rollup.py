@@ -18,7 +18,8 @@ from logquarry.functions import clf
 from logquarry.operators.errors import with_error_rate
 from logquarry.operators.parse import BLANK, MALFORMED, PARSED, classify_lines, with_resource_path
 
-LINES, REQUESTS = "lines", "requests"
+LINES, REQUESTS, REJECTED = "lines", "requests", "rejected"
+COPIES_AT_ONCE = 100_000
 # What the grouping of lines needs for each question, and the type of each column.
 LINE_COLUMNS = {"Q1": ("log_date", "status_code"), "Q3": ("log_date", "log_hour", "error_host")}
 COLUMN_TYPES = {
@@ -28,6 +29,7 @@ COLUMN_TYPES = {
     "resource_path": "string",
     "request_host": "string",
     "error_host": "string",
+    "rejected_line": "string",
 }
 
 
@@ -35,11 +37,13 @@ def partials(
     lines: DataFrame,
     questions: Sequence[str] = ("Q1", "Q2", "Q3"),
     keys: Sequence[str] = ("batch_id",),
+    rejected: bool = False,
 ) -> DataFrame:
     """Group rows for the chosen questions and the quality counts, per ``keys``.
 
     The grouping of lines holds a host only where it had an error: all other
-    requests of an hour and status share one row.
+    requests of an hour and status share one row. With ``rejected`` a grouping of its own keeps the
+    malformed lines, each with its count, from the same scan, parse and shuffle.
     """
     error = clf.is_error(F.col("status_code"))
     rows = classify_lines(lines)
@@ -58,15 +62,22 @@ def partials(
         F.count_if(F.col("is_error")).alias("error_count"),
         F.sum(F.col("line_bytes") + 1).alias("line_bytes"),
     ]
+    groupings = {LINES: by_line}
     if "Q2" in questions:
-        by_request = [*keys, "resource_path", "request_host"]
-        part = F.when(F.grouping("line_kind") == 0, LINES).otherwise(REQUESTS)
-        columns = list(dict.fromkeys([*by_line, *by_request]))
-        grouped = (
-            rows.groupingSets([by_line, by_request], *columns)
-            .agg(part.alias("part"), *measures)
-            .filter((F.col("part") == LINES) | F.col("resource_path").isNotNull())
-        )
+        groupings[REQUESTS] = [*keys, "resource_path", "request_host"]
+    if rejected:
+        # All other lines share a row a task.
+        rows = rows.withColumn("rejected_line", F.when(F.col("line_kind") == MALFORMED, F.col("line")))
+        groupings[REJECTED] = [*keys, "rejected_line"]
+    if len(groupings) > 1:
+        columns = list(dict.fromkeys(c for by in groupings.values() for c in by))
+        part = F.when(F.grouping("line_kind") == 0, LINES)
+        if "Q2" in questions:
+            part = part.when(F.grouping("resource_path") == 0, REQUESTS)
+        grouped = rows.groupingSets(list(groupings.values()), *columns).agg(part.otherwise(REJECTED).alias("part"), *measures)
+        told = {REQUESTS: "resource_path", REJECTED: "rejected_line"}
+        for name in groupings.keys() & told.keys():
+            grouped = grouped.filter((F.col("part") != name) | F.col(told[name]).isNotNull())
     else:
         grouped = rows.groupBy(*by_line).agg(F.lit(LINES).alias("part"), *measures)
     absent = {c: F.lit(None).cast(t) for c, t in COLUMN_TYPES.items() if c not in grouped.columns}
@@ -81,11 +92,24 @@ def partials(
         "bytes",
         "error_count",
         "line_bytes",
+        "rejected_line",
         "part",
         *keys,
     )
 
 
+def rejected_of(stored: DataFrame) -> DataFrame:
+    """``batch_id, line``: the malformed lines, each as often as it came.
+
+    A line with a very large count is spread in parts, so that no row holds a long list.
+    """
+    rows = stored.filter(F.col("part") == REJECTED)
+    count = F.col("req_count")
+    parts = rows.withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), count, F.lit(COPIES_AT_ONCE).cast("long"))))
+    last = F.least(count, F.col("first") + COPIES_AT_ONCE - 1)
+    return parts.select("batch_id", F.col("rejected_line").alias("line"), F.explode(F.sequence("first", last))).drop("col")
+
+
 def _line_rows(stored: DataFrame) -> DataFrame:
     return stored.filter(F.col("part") == LINES)
 

@@ -12,7 +12,7 @@ from logquarry.functions import clf, packed
 from logquarry.operators import errors, parse, quality, resources, rollup, traffic
 from logquarry.plans import jobs, reports
 from logquarry.plans.workspace import shared_folder
-from logquarry.sinks import files
+from logquarry.sinks import files, upsert
 from logquarry.sinks.store import create_tables
 from logquarry.sources import logs, tables
 from logquarry.sources.corpus import BATCH_LABELS, corpus_lines
@@ -199,6 +199,21 @@ def merge_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.RESOURCE_PARTIALS).parquet(path)
 
 
+@query
+def merge_partial_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A correction of some rows of the second batch, with rows of new keys: all others stay."""
+    path = shared_folder(spark, "keyed")
+    partials = _partials(spark, sf_dir)
+    upsert.create_keyed(spark, path, schemas.RESOURCE_PARTIALS, ("resource_path", "host", "batch_id"))
+    upsert.upsert(spark, path, partials)
+    second = partials.filter((F.col("batch_id") == 2) & (F.col("req_count") > 1))
+    corrected = second.withColumn("req_count", F.col("req_count") * 2)
+    added = second.withColumn("resource_path", F.concat("resource_path", F.lit("/new")))
+    left_out = partials.filter((F.col("batch_id") == 1) & (F.col("bytes") == 0))
+    upsert.upsert(spark, path, corrected.unionByName(added), gone=left_out)
+    return upsert.read_keyed(spark, path)
+
+
 @query
 def malformed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "quarantine")
@@ -601,13 +616,22 @@ def job_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The malformed lines that a run sets aside."""
     path = shared_folder(spark, "quarantine")
     _job_results(spark, sf_dir, jobs.run_q1, quarantine=path)
-    return spark.read.schema(schemas.RAW_LINES).parquet(path)
+    return spark.read.schema(schemas.RAW_LINES).parquet(path).select("batch_id", "line")
+
+
+@query
+def job_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that has finished its first batch only, taken up again."""
+    store, batches = shared_folder(spark, "job"), log_batches(spark, sf_dir)
+    jobs.run_all(spark, store, batches[:1], run_id=LATEST_RUN, resume=True)
+    jobs.run_all(spark, store, batches, run_id=LATEST_RUN, resume=True)
+    return tables.read_store(spark, store, "query_results").drop("run_id")
 
 
 @query
 def rollup_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group rows of all questions that one pass leaves."""
-    return rollup.partials(corpus_lines(spark, sf_dir)).drop("line_bytes")
+    return rollup.partials(corpus_lines(spark, sf_dir)).drop("line_bytes", "rejected_line")
 
 
 @query

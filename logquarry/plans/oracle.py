@@ -239,6 +239,11 @@ ORACLE: dict[str, str] = {
     "tsv_roundtrip": "select * from partials",
     "out_replace": "select * from daily",
     "merge_upsert": "select * from partials",
+    "merge_partial_correction": """
+        select batch_id, resource_path, host, case when batch_id = 2 and req_count > 1 then req_count * 2 else req_count end as req_count, bytes
+        from partials where not (batch_id = 1 and bytes = 0)
+        union all select batch_id, resource_path || '/new', host, req_count, bytes
+        from partials where batch_id = 2 and req_count > 1""",
     "merge_emptied": "select * from partials where batch_id = 1",
     "malformed_quarantine": "select batch_id, line from split where not fits",
     "packed_encode": _PACKED,
@@ -310,6 +315,7 @@ ORACLE: dict[str, str] = {
     "job_q2": f"select * from ({_results(_ALL)}) where query_name = 'Q2'",
     "job_q3": f"select * from ({_results(_ALL)}) where query_name = 'Q3'",
     "job_all": _results(_ALL),
+    "job_resumed": _results(_ALL),
     "job_rerun": f"select * from ({_results(_ALL)}) where query_name = 'Q1'",
     "job_chunks": "select * from daily",
     "job_quarantine": "select batch_id, line from split where not fits",

@@ -39,7 +39,7 @@ PACKED = _struct("packed_key string, packed_value string")
 PARTIALS = _struct(
     "line_kind string, log_date string, log_hour int, status_code int, resource_path string, "
     "host string, req_count bigint, bytes total, error_count bigint, line_bytes bigint, "
-    "part string, batch_id int"
+    "rejected_line string, part string, batch_id int"
 )
 
 RUN_METADATA = _struct("pipeline_name string, execution_timestamp timestamp, run_id bigint")

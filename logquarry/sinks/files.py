@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.operators.parse import malformed_lines
+from logquarry.plans.workspace import shared_folder
 from logquarry.sources.places import file_system
 from logquarry.sources.tables import TSV_OPTIONS
 
@@ -43,6 +44,15 @@ def write_quarantine(lines: DataFrame, path: str) -> None:
     bad.write.mode("overwrite").partitionBy("batch_id").parquet(path)
 
 
+def write_run_quarantine(bad: DataFrame, path: str, run_id: int) -> None:
+    """The malformed ``batch_id, line`` rows of a run, in place of what it left there before.
+
+    Other runs' lines stay.
+    """
+    run = bad.withColumn("run_id", F.lit(run_id).cast("bigint")).select("line", "run_id", "batch_id")
+    replace_partitions(run, path, "run_id", "batch_id", named=[run_id])
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds; one that is not there is no error."""
     system, place = file_system(spark, path)
@@ -65,11 +75,16 @@ def replace_partitions(
 
     A batch run again, or a task tried again, puts the same rows in the same
     place. Keys a batch no longer has go away with its old partition. ``named`` values of
-    the first column are replaced also where ``df`` has no row of them; their earlier rows go
-    before the new ones come, so a write that failed must be done again.
+    the first column are replaced also where ``df`` has no row of them: what they held before and
+    ``df`` did not fill goes after the new rows have come, so ``df`` may read it.
     """
-    for value in named:
-        delete_folder(df.sparkSession, f"{path}/{columns[0]}={value}")
+    spark = df.sparkSession
+    earlier = {v: _files_below(spark, f"{path}/{columns[0]}={v}") for v in named}
+    if earlier and any(earlier.values()):
+        # Kept aside first: Spark does not overwrite what a plan still reads.
+        aside = shared_folder(spark, "replacing")
+        df.write.parquet(aside)
+        df = spark.read.schema(df.schema).parquet(aside)
     (
         gather(df, columns, spread)
         .write.mode("overwrite")
@@ -77,3 +92,16 @@ def replace_partitions(
         .partitionBy(*columns)
         .parquet(path)
     )
+    for old in {f for files in earlier.values() for f in files}:
+        system, place = file_system(spark, old)
+        system.delete(place, False)
+
+
+def _files_below(spark: SparkSession, path: str) -> list[str]:
+    system, place = file_system(spark, path)
+    if not system.exists(place):
+        return []
+    found, files = system.listFiles(place, True), []
+    while found.hasNext():
+        files.append(found.next().getPath().toString())
+    return files

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Container, Sequence
 from typing import NamedTuple
 
@@ -10,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logquarry import schemas
+from logquarry.functions import patterns as P
 from logquarry.functions.patterns import CHUNK_LINES
-from logquarry.sources.places import distinct_places, file_system, listed_files, with_batch_id
+from logquarry.sources.places import distinct_places, file_system, files_at, listed_files, with_batch_id
 
 # Up to this many input splits (40 bytes each, 500 TB of logs at the default split size) their
 # offsets are broadcast; beyond it Spark picks the join.
 BROADCAST_SPLITS = 4_000_000
 
+# Group rows made with other patterns or bounds are not those of now.
+PATTERNS_MARK = repr((P.CLF_LINE, P.CLF_REQUEST, P.METHODS, P.ERROR_LOW, P.ERROR_HIGH, P.NON_PRINTABLE))
+
 
 class Batch(NamedTuple):
     """One input of a run; its id is its position in the run, from 1."""
@@ -87,6 +92,21 @@ def batch_lines(
     return placed.select("batch_id", "line")
 
 
+def input_marks(spark: SparkSession, batches: Sequence[Batch], recursive: bool = False) -> list[str]:
+    """A mark of what each batch would read: its files with their sizes and times, the places listed
+    within it, which take files from it, and the patterns that lines are matched with."""
+    listed = listed_files(spark, [b.path for b in batches])
+    every = [place for found in listed for _, place in found]
+    marks = []
+    for found in listed:
+        facts = [PATTERNS_MARK, str(recursive)]
+        for _, place in found:
+            facts += [f"{name}\t{size}\t{at}" for name, size, at in files_at(spark, place, recursive)]
+            facts += [f"within\t{p}" for p in every if p.startswith(f"{place}/")]
+        marks.append(hashlib.sha256("\n".join(sorted(facts)).encode()).hexdigest())
+    return marks
+
+
 def read_batches(spark: SparkSession, batches: Sequence[Batch], **options) -> DataFrame:
     """``batch_id, batch_label, line`` over all batches; options as for :func:`batch_lines`."""
     labels = batch_table(spark, batches).drop("path")

@@ -55,6 +55,24 @@ def listed_files(spark: SparkSession, paths: Sequence[str]) -> list[list[tuple[s
     return found
 
 
+def files_at(spark: SparkSession, place: str, recursive: bool) -> list[tuple[str, int, int]]:
+    """Name, size and time of the files that Spark reads at ``place``, as :func:`listed_files` tells it: a
+    file, or a folder's files but those whose names, or whose folders' names, start with '_' or '.'."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(place))
+    system = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    top = system.getFileStatus(at)
+    found, folders = ([], [at]) if top.isDirectory() else ([top], [])
+    while folders:
+        for status in system.listStatus(folders.pop()):
+            if status.getPath().getName().startswith(("_", ".")):
+                continue
+            if not status.isDirectory():
+                found.append(status)
+            elif recursive:
+                folders.append(status.getPath())
+    return [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found]
+
+
 def with_batch_id(rows: DataFrame, file: Column, places: Sequence[tuple[int, str]]) -> DataFrame:
     """``rows`` with ``batch_id``: the batch whose place is ``file`` or the nearest folder above it.
 

@@ -208,3 +208,125 @@ def test_a_folder_and_one_in_it_are_two_batches(spark, tmp_path):
         run = jobs.run_q1(spark, store, listed, per_batch=per_batch)
         sizes = tables.read_store(spark, store, "batch_metadata").filter(f"run_id = {run}")
         assert sizes.filter("stage = 'batch'" if per_batch else "true").agg(F.sum("batch_size")).first()[0] == 3
+
+
+def stored_tables(spark, store):
+    return {
+        t: sorted(map(str, tables.read_store(spark, store, t).drop("runtime_ms", "execution_timestamp").collect()))
+        for t in schemas.STORE_TABLES
+    }
+
+
+def test_a_run_that_dies_leaves_the_earlier_one_whole(spark, batches, tmp_path, monkeypatch):
+    store = f"{tmp_path}/store"
+    jobs.run_all(spark, store, batches, run_id=1)
+    before = stored_tables(spark, store)
+    put = sink.put
+    for last in ("query_results", "batch_metadata", "malformed_record_summary"):
+        with monkeypatch.context() as patched:
+            def dies(attempt, df, table, last=last):
+                put(attempt, df, table)
+                if table == last:
+                    raise OSError("executor lost")
+
+            patched.setattr(sink, "put", dies)
+            with pytest.raises(OSError):
+                jobs.run_all(spark, store, batches[:1], run_id=1, anew=True)
+        assert stored_tables(spark, store) == before
+    assert len(sink.forget_unpublished(spark, store)) == 3
+    assert stored_tables(spark, store) == before
+    jobs.run_all(spark, store, batches[:1], run_id=1)
+    assert stored_tables(spark, store) != before
+
+
+def test_a_reader_keeps_what_it_began_with(spark, batches, tmp_path):
+    store = f"{tmp_path}/store"
+    jobs.run_all(spark, store, batches, run_id=1)
+    reading = tables.read_store(spark, store, "query_results")
+    count = reading.count()
+    (tmp_path / "logs" / "batch_1" / "a.log").write_text("garbage\n")
+    jobs.run_all(spark, store, batches, run_id=1)
+    assert reading.count() == count != tables.read_store(spark, store, "query_results").count()
+
+
+def test_a_run_is_taken_up_where_it_died(spark, batches, tmp_path, monkeypatch):
+    store = f"{tmp_path}/store"
+    jobs.run_all(spark, f"{tmp_path}/whole", batches, run_id=3, per_batch=True, quarantine=f"{tmp_path}/bad-whole")
+    read = []
+    lines = jobs.batch_lines
+    monkeypatch.setattr(jobs, "batch_lines", lambda *a, only=None: (read.append(only), lines(*a, only=only))[1])
+    write = jobs.write_partials
+
+    def dies(df, *args):
+        if read[-1] == 2:
+            raise OSError("driver lost")
+        write(df, *args)
+
+    options = {"run_id": 3, "resume": True, "quarantine": f"{tmp_path}/bad"}
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "write_partials", dies)
+        with pytest.raises(OSError):
+            jobs.run_all(spark, store, batches, **options)
+    assert read == [1, 2] and stored_tables(spark, store)["query_results"] == []
+    read.clear()
+    jobs.run_all(spark, store, batches, **options)
+    assert read == [2]
+    assert stored_tables(spark, store) == stored_tables(spark, f"{tmp_path}/whole")
+    bad = [spark.read.schema(schemas.RAW_LINES).parquet(f"{tmp_path}/{p}").select("batch_id", "line") for p in ("bad", "bad-whole")]
+    assert sorted(bad[0].collect()) == sorted(bad[1].collect()) != []
+
+    # A file that changed, a question that is new and other patterns are read again.
+    read.clear()
+    (tmp_path / "logs" / "batch_1" / "b.log").write_text(line() + "\n")
+    jobs.run_all(spark, store, batches, **options)
+    assert read == [1]
+    read.clear()
+    jobs.run_q1(spark, store, batches, run_id=4, resume=True)
+    jobs.run_all(spark, store, batches, run_id=4, resume=True)
+    assert read == [1, 2, 1, 2]
+    read.clear()
+    monkeypatch.setattr(logs, "PATTERNS_MARK", "others")
+    jobs.run_all(spark, store, batches, **options)
+    assert read == [1, 2]
+    with pytest.raises(ValueError):
+        jobs.run_all(spark, store, batches, resume=True)
+
+
+def test_quarantine_in_the_same_pass(spark, batches, tmp_path, monkeypatch):
+    path = f"{tmp_path}/bad"
+    plans = []
+    write = jobs.replace_partitions
+    monkeypatch.setattr(
+        jobs, "replace_partitions", lambda df, *a: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a))
+    )
+    listener_before = sum(p.count("FileScan text") for p in plans)
+    jobs.run_all(spark, f"{tmp_path}/store", batches, run_id=1, quarantine=path)
+    assert listener_before == 0 and sum(p.count("FileScan text") for p in plans) == 1
+    # Another run, and then the first one again, keep the other's lines.
+    (tmp_path / "logs" / "batch_2" / "a.log").write_text("other\nother\n\n")
+    jobs.run_q2(spark, f"{tmp_path}/store", batches, run_id=2, quarantine=path)
+    count = lambda: {(r.run_id, r.batch_id, r.line): r["count"] for r in spark.read.parquet(path).groupBy("run_id", "batch_id", "line").count().collect()}
+    both = {(1, 1, "garbage"): 1, (1, 2, "garbage"): 1, (2, 1, "garbage"): 1, (2, 2, "other"): 2}
+    assert count() == both
+    (tmp_path / "logs" / "batch_1" / "a.log").write_text(line() + "\n")
+    jobs.run_all(spark, f"{tmp_path}/store", batches, run_id=1, quarantine=path)
+    assert count() == {(1, 2, "other"): 2, (2, 1, "garbage"): 1, (2, 2, "other"): 2}
+
+
+def test_a_line_without_end_is_spread(spark, lines_of, monkeypatch):
+    monkeypatch.setattr(rollup, "COPIES_AT_ONCE", 7)
+    stored = rollup.partials(lines_of(*["junk"] * 50, "other", line(), ""), rejected=True)
+    found = {r.line: r["count"] for r in rollup.rejected_of(stored).groupBy("line").count().collect()}
+    assert found == {"junk": 50, "other": 1}
+    assert rollup.daily_of(stored).first()["request_count"] == 1
+
+
+def test_named_partitions_may_read_what_they_replace(spark, tmp_path):
+    path = f"{tmp_path}/p"
+    df = spark.range(1, 4).selectExpr("cast(id as int) batch_id", "'/a' resource_path")
+    files.replace_partitions(df, path, "batch_id")
+    schema = "resource_path string, batch_id int"
+    one = spark.read.schema(schema).parquet(path).filter("batch_id = 1").withColumn("resource_path", F.lit("/b"))
+    files.replace_partitions(one, path, "batch_id", named=[1, 2])
+    found = sorted(map(tuple, spark.read.schema(schema).parquet(path).collect()))
+    assert found == [("/a", 3), ("/b", 1)]
