@@ -16,12 +16,15 @@ from logquarry.sinks import files, upsert
 from logquarry.sinks.store import create_tables
 from logquarry.sources import logs, tables
 from logquarry.sources.corpus import BATCH_LABELS, corpus_lines
+from logquarry.sources.views import create_log_view
 from logquarry.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 FIRST_RUN, LATEST_RUN = 1, 2
+# A run id that the store does not know.
+UNKNOWN_RUN = 99
 CHUNK_SIZE = 3_000
 _written: dict[tuple[str, str, str], object] = {}
 
@@ -132,6 +135,15 @@ def hive_schema_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.read_with_pattern(corpus_lines(spark, sf_dir), "strict_resources")
 
 
+@query
+def sql_log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs selected by SQL from a view in the catalog."""
+    batches = log_batches(spark, sf_dir)
+    database = "logs_" + batches[0].path.split("/")[-2].rsplit("-", 1)[-1]
+    create_log_view(spark, database, "access_log", batches)
+    return spark.sql(f"SELECT * FROM `{database}`.access_log WHERE host IS NOT NULL AND method <> 'HEAD'")
+
+
 @query
 def schema_on_read_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.read_with_pattern(corpus_lines(spark, sf_dir), "strict_daily")
@@ -359,6 +371,45 @@ def parity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.parity_audit(corpus_lines(spark, sf_dir))
 
 
+@query
+def parse_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per batch that a write of the parsed rows takes on its way."""
+    classified, counts = quality.observed(corpus_lines(spark, sf_dir), batches=list(BATCH_LABELS))
+    kept = classified.filter(F.col("line_kind") == parse.PARSED).drop("line", "line_bytes", "line_kind")
+    files.replace_output(kept, shared_folder(spark, "parsed"))
+    found = counts.get
+    names = ("total_lines", "blank_lines", "malformed", "records_processed", "batch_bytes")
+    rows = [(i, *(int(found[f"{n}_{i}"]) for n in names)) for i in BATCH_LABELS]
+    return spark.createDataFrame(rows, "batch_id int, " + ", ".join(f"{n} bigint" for n in names))
+
+
+@query
+def parity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that the lenient pattern and a strict one do not both keep."""
+    return quality.profile_difference(corpus_lines(spark, sf_dir), "lenient", "strict_resources")
+
+
+@query
+def parity_q1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    strict = traffic.daily_status(parse.parse_strict(corpus_lines(spark, sf_dir), "strict_daily"))
+    keys, measures = ("log_date", "status_code"), ("request_count", "total_bytes")
+    return quality.compare_groups(traffic.daily_status(_parsed(spark, sf_dir)), strict, keys, measures)
+
+
+@query
+def parity_q2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    strict = resources.resource_totals(parse.parse_strict(corpus_lines(spark, sf_dir), "strict_resources"))
+    measures = ("request_count", "total_bytes", "distinct_hosts")
+    return quality.compare_groups(resources.resource_totals(_requests(spark, sf_dir)), strict, ("resource_path",), measures)
+
+
+@query
+def parity_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    strict = errors.hourly_errors(parse.parse_strict(corpus_lines(spark, sf_dir), "strict_hourly"), error_mode="ge400")
+    keys, measures = ("log_date", "log_hour"), ("total_requests", "error_request_count", "distinct_error_hosts")
+    return quality.compare_groups(errors.hourly_errors(_parsed(spark, sf_dir)), strict, keys, measures)
+
+
 # --- daily traffic -----------------------------------------------------------
 
 
@@ -514,6 +565,30 @@ def store_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.query_results")
 
 
+@query
+def store_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the audit finds in the store with faults put in: runs nobody knows, batches without metadata,
+    repeated groups and missing values."""
+    store = _store(spark, sf_dir)
+    held = {t: tables.read_store(spark, store, t) for t in schemas.STORE_TABLES}
+    first = held["query_results"].filter(F.col("run_id") == FIRST_RUN)
+    unknown = F.lit(UNKNOWN_RUN).cast("bigint")
+    q1 = first.filter("query_name = 'Q1'")
+    held["query_results"] = (
+        held["query_results"]
+        .unionByName(q1.withColumn("run_id", unknown))
+        .unionByName(first.filter("query_name = 'Q2'"))
+        .unionByName(q1.withColumn("batch_id", F.lit(7)))
+    )
+    summary = held["malformed_record_summary"]
+    held["malformed_record_summary"] = summary.unionByName(
+        summary.filter(F.col("run_id") == LATEST_RUN).withColumns(
+            {"batch_id": F.lit(8), "malformed_record_count": F.lit(None).cast("bigint")}
+        ).limit(1).withColumn("query_name", F.lit("Q1"))
+    )
+    return quality.store_faults(held)
+
+
 @query
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs with the result rows each has stored; the time of the run is left out."""

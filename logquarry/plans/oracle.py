@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from logquarry.functions import patterns as P
-from logquarry.plans.catalog import BATCH_LABELS, CHUNK_SIZE, FIRST_RUN, LATEST_RUN
+from logquarry.plans.catalog import BATCH_LABELS, CHUNK_SIZE, FIRST_RUN, LATEST_RUN, UNKNOWN_RUN
 from logquarry.sources.corpus import CORPUS_SQL
 
 _EDGES = "' ' || " + " || ".join(f"chr({i})" for i in range(1, 32))
@@ -225,7 +225,46 @@ _CHUNKS = f"""
         min(i) as first_index, max(i) as last_index, count(distinct i) as indexes
         from (select row_number() over () - 1 as i from lines) group by all"""
 
+def _differing(first: str, second: str, keys: tuple[str, ...], measures: tuple[str, ...]) -> str:
+    """Groups in which two selects differ."""
+    same = " and ".join(f"a.{k} is not distinct from b.{k}" for k in keys)
+    differs = " or ".join(f"a.{m} is distinct from b.{m}" for m in measures)
+    shown = ", ".join(f"a.{m} as {m}_first, b.{m} as {m}_second" for m in measures)
+    picked = ", ".join(f"coalesce(a.{k}, b.{k}) as {k}" for k in keys)
+    return f"select {picked}, {shown} from ({first}) a full join ({second}) b on {same} where {differs}"
+
+
+_STRICT_DAILY_GROUPS = f"""select substr(log_time, 1, 11) as log_date, status::int as status_code,
+        count(*) as request_count, sum({_STRICT_BYTES})::decimal(38,0) as total_bytes
+        from {_strict('strict_daily')} group by all"""
+
+_STRICT_TOTALS = _by_path(f"""select host, path as resource_path, {_STRICT_BYTES} as bytes
+        from {_strict('strict_resources')} where method in ({_METHODS}) and path like '/%'""")
+
+_PARITY_LINES = f"""
+    select batch_id, line, case when lenient then 'lenient' else 'strict_resources' end as kept_by, count(*) as line_count
+    from (select batch_id, whole as line, regexp_matches(line, '{P.CLF_LINE}') as lenient,
+                 regexp_matches(whole, '{P.STRICT_RESOURCES}') as strict from edged)
+    where lenient <> strict group by all"""
+
+_FIRST_RESULTS = f"(select query_name, count(*)::bigint as n from ({_results('1')}) group by query_name)"
+_INTEGRITY = f"""
+    select 'orphan_run' as fault, 'query_results' as table_name, {UNKNOWN_RUN}::bigint as run_id, query_name,
+        n::decimal(38,0)::bigint as row_count from {_FIRST_RESULTS} where query_name = 'Q1'
+    union all select 'orphan_batch', 'query_results', {UNKNOWN_RUN}, query_name, n from {_FIRST_RESULTS} where query_name = 'Q1'
+    union all select 'orphan_batch', 'query_results', {FIRST_RUN}, query_name, n from {_FIRST_RESULTS} where query_name = 'Q1'
+    union all select 'repeated_group', 'query_results', {FIRST_RUN}, query_name, n from {_FIRST_RESULTS} where query_name = 'Q2'
+    union all select 'null_key', 'malformed_record_summary', {LATEST_RUN}, 'Q1', 1"""
+
 ORACLE: dict[str, str] = {
+    "sql_log_view": f"select * from ({_schema_on_read('strict_resources')}) where host is not null and method <> 'HEAD'",
+    "parse_observed": "select * from quality",
+    "parity_lines": _PARITY_LINES,
+    "parity_q1": _differing("select * from daily", _STRICT_DAILY_GROUPS, ("log_date", "status_code"), ("request_count", "total_bytes")),
+    "parity_q2": _differing("select * from totals", _STRICT_TOTALS, ("resource_path",), ("request_count", "total_bytes", "distinct_hosts")),
+    "parity_q3": _differing("select * from hourly", _hourly_over(_strict("strict_hourly"), f"status::int >= {P.ERROR_LOW}"),
+        ("log_date", "log_hour"), ("total_requests", "error_request_count", "distinct_error_hosts")),
+    "store_integrity": _INTEGRITY,
     "scan_lines": "select line from lines",
     "scan_recursive": "select line from lines",
     "scan_batches": f"select batch_id, {_LABEL} as batch_label, line from lines",
