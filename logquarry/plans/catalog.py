@@ -17,6 +17,7 @@ from logquarry.sinks.store import create_tables
 from logquarry.sources import logs, tables
 from logquarry.sources.corpus import BATCH_LABELS, corpus_lines
 from logquarry.sources.views import create_log_view
+from logquarry.streaming.compact import compact, read_ingested
 from logquarry.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -742,3 +743,15 @@ def ingest_nested_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resources.merge_top_resources(
         rollup.resource_rows_of(jobs.read_partials(spark, target))
     )
+
+
+@query
+def ingest_compacted_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after the first batch, then both, were compacted, and the stream was replayed each time."""
+    batches = log_batches(spark, sf_dir)
+    root = batches[0].path.rsplit("/", 1)[0]
+    target = shared_folder(spark, "ingest")
+    for turn, closed in enumerate(([1], None, None)):
+        ingest_stream(spark, root, batches, target, f"{target}-state-{turn}").awaitTermination()
+        compact(spark, target, closed)
+    return resources.merge_top_resources(rollup.resource_rows_of(read_ingested(spark, target)))

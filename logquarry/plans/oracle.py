@@ -361,6 +361,7 @@ ORACLE: dict[str, str] = {
     "packed_import": _DECODED,
     "rollup_partials": _ROLLUP,
     "ingest_stream_top20": _top("select * from totals"),
+    "ingest_compacted_top20": _top("select * from totals"),
     "ingest_nested_top20": _top("select * from totals"),
 }
 

@@ -12,6 +12,7 @@ from logquarry.operators import rollup
 from logquarry.sinks.files import replace_partitions
 from logquarry.sources.logs import Batch
 from logquarry.sources.places import distinct_places, place_of, with_batch_id
+from logquarry.streaming.compact import without_absorbed
 
 INGEST_KEYS = ("part", "batch_id", "source_id")
 TASKS_PER_FILE = 8
@@ -47,7 +48,7 @@ def ingest_stream(
 
     Group rows are kept per source file. A file comes whole in one micro-batch,
     so replacing its partition makes a replay harmless, from this checkpoint or
-    from a new one. A batch may grow, and new ones may be listed, between calls;
+    from a new one. Files that a compaction has absorbed are passed over. A batch may grow, and new ones may be listed, between calls;
     a file that no batch lists stops the stream.
     """
     places = listed_places(spark, batches)
@@ -60,7 +61,7 @@ def ingest_stream(
 
     def write(micro_batch: DataFrame, _: int) -> None:
         grouped = rollup.partials(micro_batch, questions, keys=("source_file",))
-        rows = with_source(grouped, places)
+        rows = without_absorbed(with_source(grouped, places), target)
         replace_partitions(rows, target, *INGEST_KEYS, spread=TASKS_PER_FILE)
 
     return (
