@@ -19,6 +19,7 @@ from logquarry.sources.corpus import BATCH_LABELS, corpus_lines
 from logquarry.sources.views import create_log_view
 from logquarry.streaming.compact import compact, read_ingested
 from logquarry.streaming.ingest import ingest_stream
+from logquarry.streaming.totals import forget_files, read_totals, refresh_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -755,3 +756,21 @@ def ingest_compacted_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest_stream(spark, root, batches, target, f"{target}-state-{turn}").awaitTermination()
         compact(spark, target, closed)
     return resources.merge_top_resources(rollup.resource_rows_of(read_ingested(spark, target)))
+
+
+@query
+def ingest_maintained_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top resources from totals kept up to date: outdated files of the second batch are counted first, then
+    taken back, and the logs as they are come in their place."""
+    batches = log_batches(spark, sf_dir)
+    root = batches[0].path.rsplit("/", 1)[0]
+    outdated = shared_folder(spark, "outdated")
+    corpus_lines(spark, sf_dir).filter((F.col("batch_id") == 2) & ~F.col("line").contains("7")).select("line").write.text(outdated)
+    target = shared_folder(spark, "ingest")
+    ingest_stream(spark, outdated, [logs.Batch(outdated, "outdated")], target, f"{target}-outdated").awaitTermination()
+    refresh_totals(spark, target, f"{target}-totals")
+    forget_files(spark, target, [r[0] for r in spark.read.text(outdated).select("_metadata.file_path").distinct().collect()])
+    for _ in range(2):
+        ingest_stream(spark, root, batches, target, f"{target}-state").awaitTermination()
+        refresh_totals(spark, target, f"{target}-totals")
+    return resources.top_resources(read_totals(spark, f"{target}-totals"))

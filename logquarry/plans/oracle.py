@@ -362,6 +362,7 @@ ORACLE: dict[str, str] = {
     "rollup_partials": _ROLLUP,
     "ingest_stream_top20": _top("select * from totals"),
     "ingest_compacted_top20": _top("select * from totals"),
+    "ingest_maintained_top20": _top("select * from totals"),
     "ingest_nested_top20": _top("select * from totals"),
 }
 
