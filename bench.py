@@ -105,6 +105,9 @@ def main() -> None:
             queries["q2_stage1_hostset"] = lambda: run(
                 resources.host_set_partials(resources.resource_partials(requests))
             )
+            queries["job_all_quarantine"] = lambda: jobs.run_all(
+                spark, f"{folder}/store{suffix}", batches, run_id=2, quarantine=f"{folder}/quarantine"
+            )
         for name, action in queries.items():
             found[name + suffix] = seconds(action, 1 if suffix == "_grown" else RUNS)
     spark.stop()
