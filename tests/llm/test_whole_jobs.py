@@ -85,3 +85,17 @@ def test_packed_windows_hold_the_tokens_of_all_copies(spark):
     assert found == wanted
     for rows in sequences.values():
         assert [o for o, _ in sorted(rows)] == [0, *np.cumsum([n for _, n in sorted(rows)]).tolist()][:-1]
+
+
+def test_a_family_below_the_bound_is_not_compared_in_pairs(spark, monkeypatch):
+    """300 texts that share 170 of 210 words: none is similar, and few pairs are looked at."""
+    rng = random.Random(1)
+    common = [f"c{i}" for i in range(170)]
+    texts = [" ".join(common + [f"u{rng.random()}" for _ in range(40)]) for _ in range(300)]
+    texts += [texts[0] + " end", texts[7] + " end"]
+    compared = []
+    verified = similar._verified
+    monkeypatch.setattr(similar, "_verified", lambda pairs, *a: (compared.append(pairs.count()), verified(pairs, *a))[1])
+    found = similar.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found if not r.stays} == {300, 301}
+    assert sum(compared) < 3 * len(texts)
