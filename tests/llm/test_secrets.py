@@ -137,3 +137,67 @@ def test_sample_is_bounded_and_copies_count_once(spark):
     one = secret_scan.fit(docs.dropDuplicates(["text"]), candidates=60)
     many = secret_scan.fit(docs, candidates=60)
     assert np.array_equal(one.out, many.out)
+
+
+def labelled(text):
+    """Hash and label of each candidate of a text."""
+    text = text.encode()
+    windows = [(secret_scan.windows_of(text, s, min(e, s + secret_scan.VALUE), e)[0], f) for s, e, f in secret_scan.labelled_spans(text)[1]]
+    return [(secret_scan.xxhash.xxh64_intdigest(w) >> 1, f) for w, f in windows]
+
+
+def test_every_candidate_is_learned_from(spark):
+    """A text whose candidates all come behind the first 60 of their kind by hash changes the network."""
+    texts, _ = planted(random.Random(7), 400)
+    found = [labelled(t) for t in texts]
+    bounds = [sorted({h for each in found for h, f in each if f == kind})[60] for kind in (False, True)]
+    late = next(i for i, each in enumerate(found) if each and all(h > bounds[f] for h, f in each))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole, without = (secret_scan.fit(d, candidates=60) for d in (docs, docs.filter(f"doc_id <> {late}")))
+    assert not np.array_equal(whole.out, without.out)
+
+
+def test_shards_hold_every_candidate_once_and_both_kinds(spark):
+    rows = [(i % 10 == 0, bytes([i % 251, i // 251] * 48), i * 7919 % 4096, i % 4) for i in range(2000)]
+    df = spark.createDataFrame(rows, "found boolean, window binary, h long, shape int")
+    shards = list(secret_scan._read(secret_scan.shards_of(df, 200, 1800, 300).toArrow().to_batches()))
+    assert sorted(s.number for s in shards) == list(range(6))
+    own = [(bool(y), bytes(x), int(shape)) for s in shards for x, y, shape, o in zip(s.x, s.y, s.shape, s.own, strict=True) if o]
+    assert sorted(own) == sorted((f, w, s) for f, w, _, s in rows)
+    apart = {}
+    for s in shards:
+        assert (s.y == 1).sum() >= 150 and (s.y == 0).sum() >= 200
+        for x, a in zip(s.x, s.apart, strict=True):
+            assert apart.setdefault(bytes(x), a) == a
+    assert 400 < sum(apart.values()) < 600
+
+
+def test_calibration_and_thresholds_over_shards(spark):
+    rng = np.random.default_rng(4)
+    z, y, shape = rng.normal(size=900), (rng.random(900) < 0.4).astype(float), rng.integers(0, 3, 900).astype(np.int32)
+    z += 2 * y
+    shape[:3], y[:3] = 3, 1
+    rows = [(s, *(a[s::4].tobytes() for a in (z, y, shape))) for s in range(4)]
+    judged = spark.createDataFrame(rows, "shard int, z binary, y binary, shape binary").repartition(3)
+    slope, offset = secret_scan._calibrated(judged)
+    p = 1 / (1 + np.exp(-(slope * z + offset)))
+    assert abs(((p - y) * z).sum() + 0.01 * (slope - 1)) < 1e-3 and abs((p - y).sum() + 0.01 * offset) < 1e-3
+    wanted = []
+    for s in range(4):
+        found = np.sort(p[(y == 1) & ((shape == s) | (s == 3))])
+        wanted.append(max(0.5, found[int((1 - secret_scan.RECALL) * found.size)]))
+    assert np.allclose(secret_scan._thresholds(judged, slope, offset), wanted)
+
+
+def test_a_network_of_many_shards_adds_unlabelled_secrets(spark):
+    texts, hidden = planted(random.Random(5), 600)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    net = secret_scan.fit(docs, candidates=150)
+    again = secret_scan.fit(docs.repartition(7), candidates=150)
+    assert np.array_equal(net.out, again.out) and net.thresholds == again.thresholds
+    added = {r.doc_id: {texts[r.doc_id][s:e] for s, _, e in r.added} for r in secret_scan.find_secrets(docs, net).collect()}
+    wanted = [i for i, h in enumerate(hidden) if h and labelled(texts[i]) and h in texts[i]]
+    wanted = [i for i in wanted if re.search("[0-9]", hidden[i])]
+    assert sum(hidden[i] in added[i] for i in wanted) > 0.9 * len(wanted)
+    harmless = sum(not re.fullmatch("[0-9a-fA-F]+", a) for each in added.values() for a in each)
+    assert harmless < 0.03 * len(texts)
