@@ -9,6 +9,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from logquarry.llm import queries
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 EXTRA = ("text_hash", "gone_id", "score", "mixed_id", "pipeline_key", "decided_id", "node", "key", "lang_pred", "rejected", "position")
@@ -172,3 +173,20 @@ def test_empty_table(spark, odd_docs):
 def test_run_is_its_stages(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert rows and all(r.length == len(r.ids) // 4 for r in rows)
+
+
+def test_near_stage_looks_at_simhash_components(spark, monkeypatch):
+    """Similar texts are joined by their fingerprints alone, where they share no key of minimum hashes; texts
+    of one fingerprint that are not similar stay."""
+    rng = random.Random(21)
+    base = " ".join([f"w{rng.random()}" for _ in range(41)] * 20)
+    line = " ".join(f"common{i}" for i in range(7))
+    texts = [base, base + " end", *[f"{line} " * 60 + " ".join(f"u{rng.random()}" for _ in range(12)) for _ in range(6)]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = {r.doc_id: r.component_id for r in corpus_pipeline.simhash.near_duplicates(docs).collect()}
+    assert prints[0] == prints[1] and len({prints[i] for i in range(2, 8)}) == 1
+    sketched = corpus_pipeline.similar.sketches
+    none = F.filter("keys", lambda _: F.lit(False)).alias("keys")
+    monkeypatch.setattr(corpus_pipeline.similar, "sketches", lambda *a: sketched(*a).select("doc_id", "text_hash", "node", "n", none))
+    left = corpus_pipeline.dedup_near(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in left) == [0, *range(2, 8)]
